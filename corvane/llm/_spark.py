@@ -14,15 +14,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes df to the folder all executors share and goes on from there.
-
-    The folder is spark.checkpoint.dir; only a session without one (a test) gets its own.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: spark.checkpoint.dir; only a session without one (a test) gets its own."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        where = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="corvane-checkpoint-"))
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corvane-checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Writes df to the shared folder and goes on from there."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
