@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _RNG = np.random.Generator(np.random.PCG64(20240917))
 _BYTE = _RNG.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -88,7 +89,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_00
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.nan_to_num(pa.compute.binary_length(batch[column]).to_numpy(zero_copy_only=False).astype(float)) + 64
+        sizes = np.nan_to_num(pc.binary_length(batch[column]).to_numpy(zero_copy_only=False).astype(float)) + 64
         cuts = np.flatnonzero(np.diff(np.floor(np.cumsum(sizes) / limit))) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             if b > a:
