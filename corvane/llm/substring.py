@@ -56,89 +56,98 @@ def anchors(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, .
     return g[anchor[begin]].view(np.int64), mix(spans(h, lo, hi + width, "alt")).view(np.int64), lo, hi
 
 
-BASE = "doc_id bigint, text_key bigint, n_words bigint, sha string, phrases array<struct<anchor:bigint,phrase:bigint,lo:int,hi:int>>"
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
+def _runs(w: Words, width: int) -> tuple[np.ndarray, ...]:
+    """anchors() with the range of runs of each document in front."""
+    anchor, phrase, lo, hi = anchors(w.hash, w.first, width)
+    return np.searchsorted(lo, w.first), anchor, phrase, lo, hi
 
 
-def _texts(batch: pa.RecordBatch) -> list[list[bytes]]:
-    return [t.encode().split() for t in batch["text"].to_pylist()]  # bytes.split() splits at exactly the six ASCII spaces
+def phrases(keyed: DataFrame, width: int, whole: bool) -> DataFrame:
+    """anchor and doc_id, and the phrase if ``whole``, of each phrase of each document."""
+    names = ["anchor", *(["phrase"] if whole else []), "doc_id"]
 
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            bounds, anchor, phrase, _, _ = _runs(Words(b["text"]), width)
+            ids = b["doc_id"].take(pa.array(np.repeat(np.arange(b.num_rows), np.diff(bounds))))
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), *([pa.array(phrase)] if whole else []), ids], names)
 
-def _sha(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()
+    return keyed.where("doc_id is not null").mapInArrow(parse, ", ".join(f"{n} bigint" for n in names))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 50, texts: bool = True) -> DataFrame:
-    """One row per document: n_words, n_removed, kept_sha256, and unless ``texts`` is off the removed word ranges (``spans``) and the kept text."""
-    keyed = _keyed(docs, doc_id, text)
+    """One row per document: n_words, n_removed, kept_sha256, and unless ``texts`` is off the removed word ranges (``spans``) and the kept text.
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            w = Words(b["text"])
-            anchor, phrase, lo, hi = anchors(w.hash, w.first, width)
-            bounds = np.searchsorted(lo, w.first)
-            base = np.repeat(w.first[:-1], np.diff(bounds))
-            inner = pa.StructArray.from_arrays([pa.array(anchor), pa.array(phrase), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32))], ["anchor", "phrase", "lo", "hi"])
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_key"], pa.array(np.diff(w.first)), pa.array([_sha(x) for x in _texts(b)]), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), inner)], ["doc_id", "text_key", "n_words", "sha", "phrases"])
-
-    base = cut(keyed.mapInArrow(parse, BASE))
-    found = base.where("doc_id is not null").select("doc_id", "text_key", F.explode("phrases").alias("p")).select("doc_id", "text_key", "p.*")
+    Words are hashed anew in each pass over the texts, which is cheaper than storing the phrases of
+    every document; what is shuffled is one short row a phrase, and the texts once.
+    """
+    keyed = _keyed(docs, doc_id, text)
+    shared = phrases(keyed, width, False).groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
+    found = cut(phrases(keyed, width, True).join(shared, "anchor"))
     phrase = found.groupBy("anchor", "phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    shared = phrase.groupBy("anchor").agg(F.min("first").alias("low"), F.max("last").alias("high"), F.count("*").alias("n")).where("low < high").select("anchor", (F.col("n") > 1).alias("several"))
-    factors = phrase.join(shared, "anchor").select("anchor", "phrase", "first", "several").where("several or last > first")
-    hits = found.join(factors, ["anchor", "phrase"]).where("doc_id > first or several")
-    hits = hits.groupBy("doc_id", "text_key").agg(
-        F.array_distinct(F.collect_list(F.when(F.col("doc_id") > F.col("first"), F.struct("lo", "hi")))).alias("whole"),
-        F.array_distinct(F.collect_list(F.when((F.col("doc_id") == F.col("first")) & F.col("several"), F.struct("lo", "hi")))).alias("open"),
-    )
+    several = phrase.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", F.lit(True).alias("several"))
+    factor = phrase.join(several, "anchor", "left").where("several or last > first").drop("last")
+    hits = found.join(factor, ["anchor", "phrase"]).where("doc_id > first or several")
+    hits = hits.groupBy("doc_id").agg(F.collect_set(F.when(F.col("doc_id") > F.col("first"), F.col("phrase"))).alias("whole"), F.collect_set(F.when(F.col("doc_id") == F.col("first"), F.col("phrase"))).alias("open"))
     hits = cut(hits)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             w = Words(b["text"])
+            bounds, _, phrase, lo, hi = _runs(w, width)
             at, doc = [], []
-            for i, ranges in enumerate(b["open"].to_pylist()):
-                for r in ranges:
-                    at.append(np.arange(w.first[i] + r["lo"], w.first[i] + r["hi"] + 1))
+            for i, own in enumerate(b["open"]):
+                a, z = bounds[i], bounds[i + 1]
+                for k in np.flatnonzero(np.isin(phrase[a:z], own.values.to_numpy())):
+                    at.append(np.arange(lo[a + k], hi[a + k] + 1))
                     doc.append(np.full(len(at[-1]), i))
             if at:
                 at, doc = np.concatenate(at), np.concatenate(doc)
                 keys = [mix(spans(w.hash, at, at + width, kind)).view(np.int64) for kind in ("word", "alt")]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(keys[1]), b["doc_id"].take(pa.array(doc)), b["text_key"].take(pa.array(doc)), pa.array((at - w.first[doc]).astype(np.int32))], ["k1", "k2", "doc_id", "text_key", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(keys[1]), b["doc_id"].take(pa.array(doc))], ["k1", "k2", "doc_id"])
 
-    held = keyed.where("doc_id is not null").join(hits, ["doc_id", "text_key"])
-    looked = held.where("size(open) > 0").select("doc_id", "text_key", "text", "open").mapInArrow(windows, "k1 bigint, k2 bigint, doc_id bigint, text_key bigint, at int")
-    looked = cut(looked)
+    looked = keyed.join(hits.where("size(open) > 0").select("doc_id", "open"), "doc_id").select("doc_id", "text", "open").mapInArrow(windows, "k1 bigint, k2 bigint, doc_id bigint")
     least = looked.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-    more = looked.join(least, ["k1", "k2"]).where("doc_id > first").groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("single"))
-    ranges = hits.join(more, ["doc_id", "text_key"], "left").where("size(whole) > 0 or single is not null").select("doc_id", "text_key", "whole", "single")
+    single = looked.join(least, ["k1", "k2"]).where("doc_id > first").groupBy("doc_id").agg(F.collect_set("k1").alias("single"))
+    fate = hits.where("size(whole) > 0").select("doc_id", "whole").join(single, "doc_id", "full_outer")
 
-    kind = BASE[: BASE.index(", n_words")] + ", n_removed bigint, kept_sha256 string" + (", spans array<struct<start:int,end:int>>, kept string" if texts else "")
+    kind = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", spans array<struct<start:int,end:int>>, kept string" if texts else "")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
+            w = Words(b["text"])
+            bounds, _, phrase, lo, hi = _runs(w, width)
+            split = [t.encode().split() for t in b["text"].to_pylist()]  # bytes.split() splits at exactly the six ASCII spaces
             out = []
-            for words, whole, single in zip(_texts(b), b["whole"].to_pylist(), b["single"].to_pylist(), strict=True):
-                gone = np.zeros(len(words) + 1, np.int64)
-                for r in whole:
-                    gone[r["lo"]] += 1
-                    gone[r["hi"] + width] -= 1
-                for at in single or ():
-                    gone[at] += 1
-                    gone[at + width] -= 1
+            for i, (words, whole, single) in enumerate(zip(split, b["whole"], b["single"], strict=True)):
+                start, n = w.first[i], len(words)
+                gone = np.zeros(n + 1, np.int64)
+                a, z = bounds[i], bounds[i + 1]
+                if whole.is_valid:
+                    hit = a + np.flatnonzero(np.isin(phrase[a:z], whole.values.to_numpy()))
+                    np.add.at(gone, lo[hit] - start, 1)
+                    np.add.at(gone, hi[hit] + width - start, -1)
+                if single.is_valid and n >= width:
+                    at = np.arange(start, start + n - width + 1)
+                    hit = at[np.isin(mix(spans(w.hash, at, at + width, "word")).view(np.int64), single.values.to_numpy())] - start
+                    np.add.at(gone, hit, 1)
+                    np.add.at(gone, hit + width, -1)
                 dead = np.cumsum(gone)[:-1] > 0
-                kept = [words[i] for i in np.flatnonzero(~dead)]
-                edge = np.flatnonzero(np.diff(np.concatenate([[False], dead, [False]]).astype(np.int8)))
-                out.append((int(dead.sum()), _sha(kept), [{"start": int(a), "end": int(z)} for a, z in zip(edge[::2], edge[1::2], strict=True)], b" ".join(kept).decode()))
-            cols = list(zip(*out, strict=True))
-            made = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string())]
-            if texts:
-                made += [pa.array(cols[2], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(cols[3], pa.string())]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_key"], *made], ["doc_id", "text_key", "n_removed", "kept_sha256", *(["spans", "kept"] if texts else [])])
-
-    cutout = keyed.where("doc_id is not null").join(ranges, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "whole", "single").mapInArrow(remove, kind).dropDuplicates(["doc_id", "text_key"])
-    out = base.select("doc_id", "text_key", "n_words", "sha").join(cutout, ["doc_id", "text_key"], "left").withColumn("n_removed", F.coalesce("n_removed", F.lit(0).cast("bigint"))).withColumn("kept_sha256", F.coalesce("kept_sha256", "sha"))
-    return out.drop("sha", "text_key").withColumnRenamed("doc_id", doc_id)
+                kept = words if not dead.any() else [words[k] for k in np.flatnonzero(~dead)]
+                joined = b" ".join(kept)
+                row = (n, int(dead.sum()), hashlib.sha256(joined).hexdigest())
+                if texts:
+                    edge = np.flatnonzero(np.diff(np.concatenate([[False], dead, [False]]).astype(np.int8)))
+                    row += ([{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2], strict=True)], joined.decode())
+                out.append(row)
+            types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.string()]
+            names = ["n_words", "n_removed", "kept_sha256", "spans", "kept"]
+            cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=False)]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], *cols], ["doc_id", *names[: len(cols)]])
+
+    whole = keyed.join(fate, "doc_id", "left").select("doc_id", "text", "whole", "single")
+    return whole.mapInArrow(remove, kind).withColumnRenamed("doc_id", doc_id)
