@@ -36,9 +36,9 @@ def _last_start(width: int) -> Column:
     return F.greatest(F.floor(F.octet_length("code") / 4).cast("int") - width, F.lit(0))
 
 
-def _set(code: str, width: int) -> Column:
-    """The distinct shingle hashes of a coded line."""
-    return F.expr(f"array_distinct(transform(sequence(0, greatest(cast(octet_length({code}) / 4 as int) - {width}, 0)), i -> xxhash64(substring({code}, 4 * i + 1, {4 * width}))))")
+def _set(line: str, width: int) -> Column:
+    """The distinct shingle hashes of a line; a lookahead lists overlapping shingles without counting from the start."""
+    return F.expr(f"array_distinct(transform(if(length({line}) <= {width}, array({line}), regexp_extract_all({line}, '(?s)(?=(.{{{width}}}))', 1)), x -> xxhash64(x)))")
 
 
 def _key(text: Column) -> Column:
@@ -52,14 +52,14 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def signatures(lines: DataFrame, width: int, bins: int) -> DataFrame:
-    """k1, k2 and the bins b0, b1, ... of each distinct line: one row a shingle, reduced at once to one row a line."""
+    """k1, k2, n (lines) and the bins b0, b1, ... of each distinct line: one row a shingle, reduced at once to one row a line."""
     s = lines.select("k1", "k2", _code(F.col("line")).alias("code"))
     s = s.select("k1", "k2", "code", F.explode(F.sequence(F.lit(0), _last_start(width))).alias("i"))
     h = F.xxhash64(F.substring("code", F.col("i") * 4 + 1, F.lit(4 * width)))
-    s = s.select("k1", "k2", F.octet_length("code").cast("double").alias("size"), h.alias("h"))
-    s = s.select("k1", "k2", "size", F.shiftrightunsigned("h", 33).cast("int").alias("value"), F.pmod("h", F.lit(bins)).cast("int").alias("bin"))
-    s = s.where(F.col("value") * F.col("size") <= 2.0**31 * 16 * bins)
-    return s.groupBy("k1", "k2").agg(*(F.min(F.when(F.col("bin") == j, F.col("value"))).alias(f"b{j}") for j in range(bins)))
+    s = s.select("k1", "k2", "i", F.octet_length("code").cast("double").alias("size"), h.alias("h"))
+    s = s.select("k1", "k2", "i", F.shiftrightunsigned("h", 33).cast("int").alias("value"), F.pmod("h", F.lit(bins)).cast("int").alias("bin"), (F.shiftrightunsigned("h", 33) * F.col("size") <= 2.0**31 * 8 * bins).alias("low"))
+    s = s.where("low or i = 0").withColumn("bin", F.when(F.col("low"), F.col("bin")).otherwise(-1))
+    return s.groupBy("k1", "k2").agg(F.sum(F.when(F.col("i") == 0, 1).otherwise(0)).alias("n"), *(F.min(F.when(F.col("bin") == j, F.col("value"))).alias(f"b{j}") for j in range(bins)))
 
 
 def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 6, threshold: float = 0.8, bands: int = 8, rows: int = 4) -> DataFrame:
@@ -72,21 +72,19 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     pairs = banded.join(bucket, "key").select("k1", F.explode(F.array("low", "high")).alias("other")).where("k1 <> other")
     pairs = cut(pairs.select(F.least("k1", "other").alias("a"), F.greatest("k1", "other").alias("b")).distinct())
 
-    met = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
-    first = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "pos", "text_key")).alias("first"), F.count("*").alias("n"))
-    first = cut(first.join(met.withColumn("met", F.lit(True)), "k1", "left").where("n > 1 or met"))
-    spot = first.where("met").select("k1", "first.*")
-    code = lines.join(spot, ["k1", "doc_id", "pos", "text_key"], "left_semi").select("k1", _code(F.col("line")).alias("code")).dropDuplicates(["k1"])
-    code = cut(code.select("k1", _set("code", width).alias("s")))
-    both = pairs.join(code.select(F.col("k1").alias("a"), F.col("s").alias("sa")), "a").join(code.select(F.col("k1").alias("b"), F.col("s").alias("sb")), "b")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("k1"), F.lit(True).alias("met"))
+    some = node.where("n > 1").select("k1", F.lit(False).alias("met")).unionByName(met).groupBy("k1").agg(F.max("met").alias("met"))
+    held = cut(lines.join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
+    text_of = held.where("met").groupBy("k1").agg(F.min_by("line", F.struct("doc_id", "pos")).alias("line")).select("k1", _set("line", width).alias("s"))
+    both = pairs.join(text_of.select(F.col("k1").alias("a"), F.col("s").alias("sa")), "a").join(text_of.select(F.col("k1").alias("b"), F.col("s").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     edges = both.where(common >= threshold * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
     component = components(edges, "a", "b").select(F.col("node").alias("k1"), "root")
-    fate = first.join(component, "k1", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "k1"))
-    stays = fate.groupBy("root").agg(F.min("first").alias("stays"))
-    fate = fate.select("k1", "k2", "root").join(stays, "root").select("k1", "k2", "stays")
-    out = lines.select("doc_id", "text_key", "pos", "k1", "k2").join(fate, ["k1", "k2"]).where("(doc_id, pos, text_key) <> (stays.doc_id, stays.pos, stays.text_key)")
+    fate = held.select("k1", "k2", "doc_id", "pos", "text_key").join(component, "k1", "left")
+    fate = fate.withColumn("sub", F.when(F.col("root").isNull(), F.col("k2")).otherwise(0)).withColumn("root", F.coalesce("root", "k1"))
+    stays = fate.groupBy("root", "sub").agg(F.min(F.struct("doc_id", "pos", "text_key")).alias("stays"))
+    out = fate.join(stays, ["root", "sub"]).where("(doc_id, pos, text_key) <> (stays.doc_id, stays.pos, stays.text_key)")
     return out.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone"))
 
 
