@@ -137,7 +137,8 @@ class Mix:
 
     def taken(self) -> DataFrame:
         """rid, epoch, start, n: each part of a document that the mix takes, with its shard and slot."""
-        return self.slots.join(self.pieces, ["sid", "block"]).select("shard", "slot", "rid", "epoch", "start", "n")
+        # Spark cannot see that the slots, made from a short plan, grow with the input: never broadcast them.
+        return self.slots.hint("merge").join(self.pieces, ["sid", "block"]).select("shard", "slot", "rid", "epoch", "start", "n")
 
 
 def _offsets(plan: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
