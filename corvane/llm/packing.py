@@ -38,10 +38,14 @@ def encoder(vocabulary: str) -> Callable[[str], list[int]]:
 
     from tokenizers import Tokenizer
 
-    full = Tokenizer.from_file(vocabulary)
-    full.encode_special_tokens = True
+    @cache
+    def full() -> Tokenizer:
+        t = Tokenizer.from_file(vocabulary)
+        t.encode_special_tokens = True
+        return t
+
     ranks = os.path.splitext(vocabulary)[0] + ".tiktoken"
-    slow = lambda text: full.encode(text, add_special_tokens=False).ids
+    slow = lambda text: full().encode(text, add_special_tokens=False).ids
     if not os.path.exists(ranks):
         return slow
     import public_tokenizers
