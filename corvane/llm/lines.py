@@ -3,8 +3,8 @@
 Lines (trimmed, not blank) are sets of character shingles. Identical lines are one node. A
 node's signature comes from one hash of every shingle: the hash picks one of 16 bins and the bin
 keeps its least value. Long lines drop, before the bins, hashes too large to be a bin's least value
-but by a chance of about one in eight (an empty bin is a value too). Ten bands of three bins make
-bucket keys, which finds about 99 in 100 pairs at the threshold and nearly all above 0.85; in each
+but by a chance of about one in eight (an empty bin is a value too). Six bands of three bins make
+bucket keys, which finds about 985 in 1000 pairs at the threshold and nearly all above 0.85; in each
 bucket, nodes are compared with the bucket's least and greatest node, so a bucket of any size gives two
 pairs a node. Pairs whose signatures agree in too few bins go; the rest are verified by the exact
 Jaccard index of their shingle sets, and a distributed union-find over verified pairs makes
@@ -54,54 +54,79 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 BINS = 16
-#: Ten triples of bins; no two share more than one bin.
-BANDS = [(i, (i + 1 + i % 3) % BINS, (i + 7) % BINS) for i in range(10)]
+#: Six triples of bins; no two share more than one bin.
+BANDS = [(0, 1, 2), (3, 4, 5), (6, 7, 8), (9, 10, 11), (12, 13, 14), (0, 5, 15)]
+#: Bits a bin keeps of its least value; 0 is an empty bin.
+BITS = 16
 
 
 def signatures(lines: DataFrame, width: int) -> DataFrame:
-    """k1, k2, n (lines) and the bins b0, b1, ... of each distinct line: one row a shingle, reduced at once to one row a line."""
+    """k1, n (lines) and q0..q3, sixteen bins of 16 bits each, of each distinct line: one row a shingle, reduced at once to one row a line."""
     s = lines.select("k1", "k2", _code(F.col("line")).alias("code"))
     s = s.select("k1", "k2", "code", F.explode(F.sequence(F.lit(0), _last_start(width))).alias("i"))
     h = F.xxhash64(F.substring("code", F.col("i") * 4 + 1, F.lit(4 * width)))
     s = s.select("k1", "k2", "i", F.octet_length("code").cast("double").alias("size"), h.alias("h"))
     s = s.select("k1", "k2", "i", F.shiftrightunsigned("h", 33).cast("int").alias("value"), F.pmod("h", F.lit(BINS)).cast("int").alias("bin"), (F.shiftrightunsigned("h", 33) * F.col("size") <= 2.0**31 * 8 * BINS).alias("low"))
     s = s.where("low or i = 0").withColumn("bin", F.when(F.col("low"), F.col("bin")).otherwise(-1))
-    return s.groupBy("k1", "k2").agg(F.sum(F.when(F.col("i") == 0, 1).otherwise(0)).alias("n"), *(F.min(F.when(F.col("bin") == j, F.col("value"))).alias(f"b{j}") for j in range(BINS)))
+    s = s.groupBy("k1", "k2").agg(F.sum(F.when(F.col("i") == 0, 1).otherwise(0)).alias("n"), *(F.min(F.when(F.col("bin") == j, F.col("value"))).alias(f"b{j}") for j in range(BINS)))
+    # Low bits of a least value are as good as random; the high ones are small for every line.
+    part = lambda j: F.shiftleft(F.coalesce(F.col(f"b{j}") % (2**BITS - 1) + 1, F.lit(0)).cast("bigint"), BITS * (j % 4))
+    quads = [part(j).bitwiseOR(part(j + 1)).bitwiseOR(part(j + 2)).bitwiseOR(part(j + 3)).alias(f"q{j // 4}") for j in range(0, BINS, 4)]
+    return s.select("k1", "n", *quads)
 
 
-def _sketch() -> Column:
-    """Two bits a bin: 0 for an empty one, else 1 to 3 by its value."""
-    out = F.lit(0).cast("bigint")
-    for j in range(BINS):
-        out = out.bitwiseOR(F.shiftleft(F.coalesce(F.col(f"b{j}") % 3 + 1, F.lit(0)).cast("bigint"), 2 * j))
-    return out
+def _bin(j: int, of: str = "") -> Column:
+    return F.shiftrightunsigned(F.col(f"{of}q{j // 4}"), BITS * (j % 4)).bitwiseAND(F.lit(2**BITS - 1))
 
 
-def _alike(a: Column, b: Column, share: float) -> Column:
-    """Whether two sketches agree in at least such a share of the bins that either has filled."""
-    odd = F.lit(int("01" * BINS, 2)).cast("bigint")
-    filled = lambda x: x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(odd)
-    other = filled(a.bitwiseXOR(b))
-    either = F.bit_count(filled(a).bitwiseOR(filled(b)))
-    return F.bit_count(other.bitwiseXOR(odd).bitwiseAND(filled(a))) >= share * either
+def _bands() -> Column:
+    """The bucket keys of a node: band and its three bins, where any is filled."""
+    keys = []
+    for k, (a, b, c) in enumerate(BANDS):
+        three = _bin(a).bitwiseOR(F.shiftleft(_bin(b), BITS)).bitwiseOR(F.shiftleft(_bin(c), 2 * BITS))
+        keys.append(F.when(three != 0, three.bitwiseOR(F.lit(k << 3 * BITS).cast("bigint"))))
+    return F.array_compact(F.array(*keys))
 
 
-def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 6, threshold: float = 0.8) -> DataFrame:
+def _alike(a: str, b: str, share: float) -> Column:
+    """Whether two signatures agree in at least such a share of the bins that either has filled."""
+    same = sum(((_bin(j, a) == _bin(j, b)) & (_bin(j, a) != 0)).cast("int") for j in range(BINS))
+    either = sum(((_bin(j, a) != 0) | (_bin(j, b) != 0)).cast("int") for j in range(BINS))
+    return same >= share * either
+
+
+def _filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """One row: a bitmap of fixed size (``bits``) that has the bit of every key set."""
+    h = F.pmod(F.xxhash64(key), F.lit(bits))
+    words = keys.select(h.alias("h")).groupBy(F.floor(F.col("h") / 64).alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("h", F.lit(64)).cast("int"))).alias("w"))
+    whole = keys.sparkSession.range(bits // 64).join(words, "id", "left").select("id", F.coalesce("w", F.lit(0).cast("bigint")).alias("w"))
+    return whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "w"))), lambda x: x["w"]).alias("bitmap"))
+
+
+def _may_hold(key: Column, bits: int) -> Column:
+    h = F.pmod(F.xxhash64(key), F.lit(bits))
+    word = F.get("bitmap", F.floor(h / 64).cast("int"))
+    return F.call_function("shiftrightunsigned", word, F.pmod(h, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 6, threshold: float = 0.8, bits: int = 1 << 24) -> DataFrame:
     """doc_id, text_key and the positions (``gone``) of the lines that go, for each document that loses any."""
     lines = _lines(docs, doc_id, text)
-    keys = F.array_compact(F.array(*(F.when(F.coalesce(*(F.col(f"b{i}") for i in own)).isNotNull(), F.xxhash64(F.lit(j), *(F.coalesce(F.col(f"b{i}"), F.lit(-1)) for i in own))) for j, own in enumerate(BANDS))))
-    node = cut(signatures(lines, width).select("k1", "n", _sketch().alias("sketch"), keys.alias("keys")))
-    banded = node.select("k1", F.explode("keys").alias("key"))
+    node = cut(signatures(lines, width))
+    banded = node.select("k1", F.explode(_bands()).alias("key"))
     bucket = banded.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high")
     pairs = banded.join(bucket, "key").select("k1", F.explode(F.array("low", "high")).alias("other")).where("k1 <> other")
     pairs = pairs.select(F.least("k1", "other").alias("a"), F.greatest("k1", "other").alias("b")).distinct()
-    one = node.select("k1", "sketch")
-    pairs = pairs.join(one.toDF("a", "sa"), "a").join(one.toDF("b", "sb"), "b").where(_alike(F.col("sa"), F.col("sb"), threshold - 0.35))
-    pairs = cut(pairs.select("a", "b"))
+    for side in "ab":
+        pairs = pairs.join(node.select(F.col("k1").alias(side), *(F.col(f"q{i}").alias(f"{side}q{i}") for i in range(BINS // 4))), side)
+    pairs = cut(pairs.where(_alike("a", "b", threshold - 0.35)).select("a", "b"))
 
     met = pairs.select(F.explode(F.array("a", "b")).alias("k1"), F.lit(True).alias("met"))
     some = node.where("n > 1").select("k1", F.lit(False).alias("met")).unionByName(met).groupBy("k1").agg(F.max("met").alias("met"))
-    held = cut(lines.join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
+    some = cut(some)
+    # A bitmap of fixed size, whatever the input, keeps most lines that no join will want out of the shuffle.
+    near = lines.join(F.broadcast(_filter(some, "k1", bits)), _may_hold(F.col("k1"), bits)).drop("bitmap")
+    held = cut(near.join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
     text_of = held.where("met").groupBy("k1").agg(F.min("line").alias("line"))
     both = pairs.join(text_of.toDF("a", "la"), "a").join(text_of.toDF("b", "lb"), "b").select("a", "b", _set("la", width).alias("sa"), _set("lb", width).alias("sb"))
     both = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
@@ -115,10 +140,12 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     return out.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone"))
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 1 << 24, **options) -> DataFrame:
     """docs with the lines that go taken out of ``text``, and n_lines and n_removed (lines before, lines gone)."""
-    marks = gone(docs, doc_id, text, **options).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "gone")
-    own = docs.withColumn("__key", _key(F.col(text)))
-    joined = own.join(marks, (F.col(doc_id).cast("bigint") == F.col("__id")) & (own["__key"] == marks["__key"]), "left")
+    marks = cut(gone(docs, doc_id, text, bits=bits, **options)).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "gone")
+    own = docs.withColumn("__key", _key(F.col(text))).join(F.broadcast(_filter(marks, "__key", bits)), F.lit(True))
+    own = own.withColumn("__may", F.coalesce(_may_hold(F.col("__key"), bits), F.lit(False))).drop("bitmap")
+    touched = own.where("__may").join(marks, (F.col(doc_id).cast("bigint") == F.col("__id")) & (own["__key"] == marks["__key"]), "left").select(*docs.columns, "gone")
+    whole = touched.unionByName(own.where("not __may").select(*docs.columns, F.lit(None).cast("array<int>").alias("gone")))
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("gone", i)), "\n")
-    return joined.select(*(F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in docs.columns), F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("bigint").alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint").alias("n_removed"))
+    return whole.select(*(F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in docs.columns), F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("bigint").alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint").alias("n_removed"))
