@@ -27,7 +27,7 @@ def macro(df: DataFrame, group: str, value: Column) -> DataFrame:
 
 def confusion(df: DataFrame, expected: str, predicted: str, labels: list) -> DataFrame:
     """Counts by expected label, one column for each predicted one, with precision, recall and support of the label."""
-    n = df.groupBy(expected).pivot(predicted, labels).agg(F.count("*")).na.fill(0)
+    n = df.groupBy(expected).pivot(predicted, labels).agg(F.count(F.lit(1))).na.fill(0)
     row = sum((F.col(f"`{x}`") for x in labels), F.lit(0))
     hits = F.coalesce(*(F.when(F.col(expected) == x, F.col(f"`{x}`")) for x in labels), F.lit(0))
     said = F.coalesce(*(F.when(F.col(expected) == x, F.sum(f"`{x}`").over(W.partitionBy())) for x in labels), F.lit(0))  # one row a label
@@ -91,7 +91,7 @@ def bootstrap(df: DataFrame, family: str, numerator: str, denominator: str, repl
     """Ratio of sums with a 95% interval by resampling whole families.
 
     A family's weight in a replicate is a Poisson(1) draw from the digest of (seed, family, replicate):
-    no rows are moved or repeated, replicates are columns of one aggregate, and reruns agree.
+    families reduce to their sums first, draws combine before the shuffle, and reruns agree.
     """
     f = df.groupBy(family).agg(F.sum(numerator).cast("double").alias("a"), F.sum(denominator).cast("double").alias("b"))
     # Poisson(1) by inversion of a uniform draw: cumulative probabilities of 0, 1, 2, ... draws.
@@ -102,13 +102,13 @@ def bootstrap(df: DataFrame, family: str, numerator: str, denominator: str, repl
         total += math.exp(-1) / math.factorial(k)
         ends.append(total)
 
-    def draw(i: int) -> Column:
-        u = F.pmod(F.xxhash64(F.lit(seed), F.col(family), F.lit(i)), F.lit(2**53)) / float(2**53)
-        return sum(((u >= e).cast("int") for e in ends), F.lit(0))
-
-    sums = f.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.array(*(F.sum(F.col("a") * draw(i)) / F.nullif(F.sum(F.col("b") * draw(i)), F.lit(0)) for i in range(replicates))).alias("r"))
-    r = F.array_sort(F.array_compact("r"))
-    return sums.select((F.col("a") / F.col("b")).alias("ratio"), numeric.nearest_rank(r, 0.025).alias("low"), numeric.nearest_rank(r, 0.975).alias("high"))
+    u = F.pmod(F.xxhash64(F.lit(seed), F.col(family), F.col("i")), F.lit(2**53)) / float(2**53)
+    weight = sum(((u >= e).cast("int") for e in ends), F.lit(0))
+    drawn = f.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("w", weight)
+    each = drawn.groupBy("i").agg((F.sum(F.col("a") * F.col("w")) / F.nullif(F.sum(F.col("b") * F.col("w")), F.lit(0.0))).alias("r"))
+    r = each.agg(F.array_sort(F.array_compact(F.collect_list("r"))).alias("r"))  # one row of ``replicates`` numbers
+    sums = f.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).join(F.broadcast(r), F.lit(True))
+    return sums.select((F.col("a") / F.col("b")).alias("ratio"), numeric.nearest_rank(F.col("r"), 0.025).alias("low"), numeric.nearest_rank(F.col("r"), 0.975).alias("high"))
 
 
 def nearest_rank(df: DataFrame, by: list[str], value: str, shares: list[float]) -> DataFrame:

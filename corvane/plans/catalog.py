@@ -46,3 +46,7 @@ def diversity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]", "")
     n = table(spark, sf_dir, "documents").groupBy("lang", F.sha2(key, 256).alias("key")).agg(F.count("*").alias("n"))
     return n.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("n_distinct"), F.sum(F.least("n", F.lit(2))).alias("kept"), F.sum(F.greatest(F.col("n") - 2, F.lit(0))).alias("dropped"), F.max("n").alias("max_repeat"))
+
+
+# The query modules register themselves.
+from corvane.plans import documents, tables  # noqa: E402, F401
