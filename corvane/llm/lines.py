@@ -3,8 +3,8 @@
 Lines (trimmed, not blank) are sets of character shingles. Identical lines are one node. A
 node's signature comes from one hash of every shingle: the hash picks one of 16 bins and the bin
 keeps its least value. Long lines drop, before the bins, hashes too large to be a bin's least value
-but by a chance of about one in eight (an empty bin is a value too). Six bands of three bins make
-bucket keys, which finds about 985 in 1000 pairs at the threshold and nearly all above 0.85; in each
+but by a chance of about one in eight (an empty bin is a value too). Eight bands of three bins make
+bucket keys, which finds about 99 in 100 pairs at the threshold and nearly all above 0.85; in each
 bucket, nodes are compared with the bucket's least and greatest node, so a bucket of any size gives two
 pairs a node. Pairs whose signatures agree in too few bins go; the rest are verified by the exact
 Jaccard index of their shingle sets, and a distributed union-find over verified pairs makes
@@ -30,17 +30,17 @@ def _trim(line: Column) -> Column:
 
 
 def _code(line: Column) -> Column:
-    """Four bytes a character, so that a shingle is found without counting from the start."""
-    return F.encode(line, "UTF-32")
+    """Two bytes a UTF-16 unit, so that a shingle is found without counting from the start."""
+    return F.encode(line, "UTF-16BE")
 
 
 def _last_start(width: int) -> Column:
-    return F.greatest(F.floor(F.octet_length("code") / 4).cast("int") - width, F.lit(0))
+    return F.greatest(F.floor(F.octet_length("code") / 2).cast("int") - width, F.lit(0))
 
 
 def _set(line: str, width: int) -> Column:
-    """The distinct shingle hashes of a line; a lookahead lists overlapping shingles without counting from the start."""
-    return F.expr(f"array_distinct(transform(if(length({line}) <= {width}, array({line}), regexp_extract_all({line}, '(?s)(?=(.{{{width}}}))', 1)), x -> xxhash64(x)))")
+    """The shingle hashes of a line; a lookahead lists overlapping shingles without counting from the start."""
+    return F.expr(f"transform(if(length({line}) <= {width}, array({line}), regexp_extract_all({line}, '(?s)(?=(.{{{width}}}))', 1)), x -> xxhash64(x))")
 
 
 def _key(text: Column) -> Column:
@@ -54,8 +54,8 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 BINS = 16
-#: Six triples of bins; no two share more than one bin.
-BANDS = [(0, 1, 2), (3, 4, 5), (6, 7, 8), (9, 10, 11), (12, 13, 14), (0, 5, 15)]
+#: Eight triples of bins; no two share more than one bin.
+BANDS = [(0, 1, 2), (3, 4, 5), (6, 7, 8), (9, 10, 11), (12, 13, 14), (0, 5, 15), (3, 8, 13), (1, 6, 11)]
 #: Bits a bin keeps of its least value; 0 is an empty bin.
 BITS = 16
 
@@ -64,9 +64,9 @@ def signatures(lines: DataFrame, width: int) -> DataFrame:
     """k1, n (lines) and q0..q3, sixteen bins of 16 bits each, of each distinct line: one row a shingle, reduced at once to one row a line."""
     s = lines.select("k1", "k2", _code(F.col("line")).alias("code"))
     s = s.select("k1", "k2", "code", F.explode(F.sequence(F.lit(0), _last_start(width))).alias("i"))
-    h = F.xxhash64(F.substring("code", F.col("i") * 4 + 1, F.lit(4 * width)))
+    h = F.xxhash64(F.substring("code", F.col("i") * 2 + 1, F.lit(2 * width)))
     s = s.select("k1", "k2", "i", F.octet_length("code").cast("double").alias("size"), h.alias("h"))
-    s = s.select("k1", "k2", "i", F.shiftrightunsigned("h", 33).cast("int").alias("value"), F.pmod("h", F.lit(BINS)).cast("int").alias("bin"), (F.shiftrightunsigned("h", 33) * F.col("size") <= 2.0**31 * 8 * BINS).alias("low"))
+    s = s.select("k1", "k2", "i", F.shiftrightunsigned("h", 33).cast("int").alias("value"), F.pmod("h", F.lit(BINS)).cast("int").alias("bin"), (F.shiftrightunsigned("h", 33) * F.col("size") <= 2.0**31 * 4 * BINS).alias("low"))
     s = s.where("low or i = 0").withColumn("bin", F.when(F.col("low"), F.col("bin")).otherwise(-1))
     s = s.groupBy("k1", "k2").agg(F.sum(F.when(F.col("i") == 0, 1).otherwise(0)).alias("n"), *(F.min(F.when(F.col("bin") == j, F.col("value"))).alias(f"b{j}") for j in range(BINS)))
     # Low bits of a least value are as good as random; the high ones are small for every line.
@@ -100,12 +100,12 @@ def _filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
     h = F.pmod(F.xxhash64(key), F.lit(bits))
     words = keys.select(h.alias("h")).groupBy(F.floor(F.col("h") / 64).alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("h", F.lit(64)).cast("int"))).alias("w"))
     whole = keys.sparkSession.range(bits // 64).join(words, "id", "left").select("id", F.coalesce("w", F.lit(0).cast("bigint")).alias("w"))
-    return whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "w"))), lambda x: x["w"]).alias("bitmap"))
+    return whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "w"))), lambda x: x["w"]).alias("__bitmap"))
 
 
 def _may_hold(key: Column, bits: int) -> Column:
     h = F.pmod(F.xxhash64(key), F.lit(bits))
-    word = F.get("bitmap", F.floor(h / 64).cast("int"))
+    word = F.get("__bitmap", F.floor(h / 64).cast("int"))
     return F.call_function("shiftrightunsigned", word, F.pmod(h, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
@@ -125,12 +125,12 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     some = node.where("n > 1").select("k1", F.lit(False).alias("met")).unionByName(met).groupBy("k1").agg(F.max("met").alias("met"))
     some = cut(some)
     # A bitmap of fixed size, whatever the input, keeps most lines that no join will want out of the shuffle.
-    near = lines.join(F.broadcast(_filter(some, "k1", bits)), _may_hold(F.col("k1"), bits)).drop("bitmap")
+    near = lines.join(F.broadcast(_filter(some, "k1", bits)), _may_hold(F.col("k1"), bits)).drop("__bitmap")
     held = cut(near.join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
     text_of = held.where("met").groupBy("k1").agg(F.min("line").alias("line"))
     both = pairs.join(text_of.toDF("a", "la"), "a").join(text_of.toDF("b", "lb"), "b").select("a", "b", _set("la", width).alias("sa"), _set("lb", width).alias("sb"))
-    both = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
-    edges = both.where(F.col("common") >= threshold * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
+    both = both.select("a", "b", F.size(F.array_union("sa", "sb")).alias("all"), F.size(F.array_intersect("sa", "sb")).alias("common"))
+    edges = both.where(F.col("common") >= threshold * F.col("all")).select("a", "b")
 
     component = components(edges, "a", "b").select(F.col("node").alias("k1"), "root")
     fate = held.select("k1", "k2", "doc_id", "pos", "text_key").join(component, "k1", "left")
@@ -142,10 +142,10 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 1 << 24, **options) -> DataFrame:
     """docs with the lines that go taken out of ``text``, and n_lines and n_removed (lines before, lines gone)."""
-    marks = cut(gone(docs, doc_id, text, bits=bits, **options)).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "gone")
+    marks = cut(gone(docs, doc_id, text, bits=bits, **options)).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("gone").alias("__gone"))
     own = docs.withColumn("__key", _key(F.col(text))).join(F.broadcast(_filter(marks, "__key", bits)), F.lit(True))
-    own = own.withColumn("__may", F.coalesce(_may_hold(F.col("__key"), bits), F.lit(False))).drop("bitmap")
-    touched = own.where("__may").join(marks, (F.col(doc_id).cast("bigint") == F.col("__id")) & (own["__key"] == marks["__key"]), "left").select(*docs.columns, "gone")
-    whole = touched.unionByName(own.where("not __may").select(*docs.columns, F.lit(None).cast("array<int>").alias("gone")))
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("gone", i)), "\n")
-    return whole.select(*(F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in docs.columns), F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("bigint").alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint").alias("n_removed"))
+    own = own.withColumn("__may", F.coalesce(_may_hold(F.col("__key"), bits), F.lit(False))).drop("__bitmap")
+    touched = own.where("__may").join(marks, (F.col(doc_id).cast("bigint") == F.col("__id")) & (own["__key"] == marks["__key"]), "left").select(*docs.columns, "__gone")
+    whole = touched.unionByName(own.where("not __may").select(*docs.columns, F.lit(None).cast("array<int>").alias("__gone")))
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("__gone", i)), "\n")
+    return whole.select(*(F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in docs.columns), F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("bigint").alias("n_lines"), F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("bigint").alias("n_removed"))
