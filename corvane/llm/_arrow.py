@@ -7,7 +7,9 @@ No Python loop runs per word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -84,7 +86,7 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``limit`` bytes of text, so that temporary arrays stay small."""
     for batch in batches:
         if not batch.num_rows:
@@ -94,6 +96,21 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_00
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             if b > a:
                 yield batch.slice(a, b - a)
+        release()
+
+
+@cache
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+def release() -> None:
+    """Gives freed memory back to the system; a worker is kept for later tasks, and what it holds counts for its executor."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
 
 
 def arrays(values: np.ndarray, first: np.ndarray) -> pa.Array:

@@ -175,8 +175,10 @@ def mixed(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
+        from corvane.llm._arrow import slices
+
         word = re.compile(WORD)
-        for b in batches:
+        for b in slices(batches, text, 8_000_000):
             texts = b[text].to_pylist()
             for i, (copy, size) in enumerate(zip(b["__copy"].to_pylist(), b["__size"].to_pylist(), strict=True)):
                 if copy["n"] == size:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm._arrow import Words, mix, slices, spans
+from corvane.llm._arrow import Words, mix, release, slices, spans
 from corvane.llm._spark import components, cut
 
 LEVELS, BITS = 5, 12
@@ -169,6 +169,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
                 held.append(tuple(row))
         if held and (done := close()):
             yield done
+        release()
 
     found = cut(met.mapInArrow(compare, "node bigint, links bigint, root bigint, split boolean"))
     joined = components(found.where("split and node <> root"), "node", "root") if found.where("split").limit(1).count() else found.where("false").select("node", "root")

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm._arrow import release
+
 PIECES = "row bigint, start bigint, length bigint, bucket int, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 #: Every character up to here is split alike by both tokenizer libraries (a test compares them over the whole range).
 LATIN = 0x24F
@@ -103,6 +105,7 @@ def pack(docs: DataFrame, vocabulary: str, text: str = "text", row: str = "doc_i
                     ends = np.concatenate([[0], np.cumsum(sizes.to_numpy())]).astype(np.int32)
                     out, names = [*out, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(out, names)
+        release()
 
     slim = docs.select(F.col(row).cast("bigint").alias("row"), F.col(text).cast("string").alias("text"))
     return slim.mapInArrow(run, PIECES + (", ids array<int>" if ids else "")).withColumnRenamed("row", row)

@@ -135,7 +135,7 @@ def class_prior(p: np.ndarray, u: np.ndarray, seed: int = 5, splits: int = 3) ->
             for _ in range(150):
                 net.step((sigmoid(net.logit(x)) - y) * weight, 0.02, 1e-3)
             sp, su = net.logit(p[~a]), net.logit(u[~b])
-            cut = np.quantile(sp, np.linspace(0.02, 0.7, 35))
+            cut = np.quantile(sp, np.linspace(0.02, 0.4, 20))
             tail_p, tail_u = (sp[None, :] >= cut[:, None]).mean(1), (su[None, :] >= cut[:, None]).mean(1)
             error = np.sqrt(tail_u * (1 - tail_u) / len(su) + tail_p * (1 - tail_p) / len(sp))
             least = min(least, float(np.min((tail_u - error) / tail_p)))
