@@ -7,7 +7,8 @@ the whole meets the quotas. A source's j-th slot takes block perm(j mod n) of it
 perm a keyed pseudorandom permutation of indices: every block comes once before any comes
 twice. Blocks are joined to slots by (source, block), never gathered by source.
 
-Null texts have no words. Null is a source like others. Reruns draw the same.
+Null texts have no words. Null is a source like others. Reruns draw the same. docs must give its
+rows in one order each time it is read, as files do.
 """
 
 from __future__ import annotations
@@ -87,11 +88,13 @@ class Mix:
     """sizes: one row per document (rid, source, size, source_size, target, and its block range);
     slots: one row per slot (shard, slot, source_key, epoch, block); pieces: blocks' parts of documents."""
 
-    def __init__(self, docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0, block: int = 256, seed: int = 17, text: str = "text", source: str = "source", keep: tuple[str, ...] = ()):
+    def __init__(self, docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0, block: int = 256, seed: int = 17, text: str = "text", source: str = "source", row: str = "doc_id", keep: tuple[str, ...] = ()):
         spark = docs.sparkSession
-        d = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(source).cast("string").alias("source"), *keep, n_words(F.col(text)).alias("size"))
+        # Documents lie in a source's stream by a hash of id and text, so the mix is the same however the table is read.
+        place = F.xxhash64(*([row] if row in docs.columns else []), F.xxhash64(text))
+        d = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(source).cast("string").alias("source"), *keep, n_words(F.col(text)).alias("size"), place.alias("place"))
         d = cut(d)
-        chunk = F.pmod(F.xxhash64("rid"), F.lit(4096))
+        chunk = F.pmod("place", F.lit(4096))
         total = d.groupBy("source").agg(F.sum("size").alias("n")).collect()  # one row a source
         rows = sorted(((x["source"], x["n"]) for x in total), key=lambda x: (x[0] is None, x[0] or ""))
         sizes = [n for _, n in rows]
@@ -102,11 +105,11 @@ class Mix:
         # Running word counts in two levels: within a chunk of a source, then over its chunks.
         per = d.groupBy("source", chunk.alias("chunk")).agg(F.sum("size").alias("n"))
         per = per.withColumn("before", F.sum("n").over(W.partitionBy("source").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1))).drop("n")
-        own = F.sum("size").over(W.partitionBy("source", "chunk").orderBy("rid").rowsBetween(W.unboundedPreceding, -1))
+        own = F.sum("size").over(W.partitionBy("source", "chunk").orderBy("place", "rid").rowsBetween(W.unboundedPreceding, -1))
         d = d.withColumn("chunk", chunk).withColumn("own", F.coalesce(own, F.lit(0)))
         d = d.alias("d").join(per.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.chunk") == F.col("p.chunk"))).select("d.*", "before")
         d = d.alias("d").join(known.alias("k"), F.col("d.source").eqNullSafe(F.col("k.source"))).select("d.*", "sid", "source_size", "target")
-        self.sizes = d.withColumn("first", F.col("own") + F.coalesce("before", F.lit(0))).drop("own", "before", "chunk")
+        self.sizes = d.withColumn("first", F.col("own") + F.coalesce("before", F.lit(0))).drop("own", "before", "chunk", "place")
         lo, hi = F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block)
         b = self.sizes.where("size > 0").select("rid", "sid", "first", "size", F.explode(F.sequence(lo, hi)).alias("block"))
         start = F.greatest(F.col("block") * block, F.col("first"))
