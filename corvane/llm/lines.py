@@ -148,4 +148,4 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int
     touched = own.where("__may").join(marks, (F.col(doc_id).cast("bigint") == F.col("__id")) & (own["__key"] == marks["__key"]), "left").select(*docs.columns, "__gone")
     whole = touched.unionByName(own.where("not __may").select(*docs.columns, F.lit(None).cast("array<int>").alias("__gone")))
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return whole.select(*(F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in docs.columns), F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("bigint").alias("n_lines"), F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("bigint").alias("n_removed"))
+    return whole.select(*(F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")), F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("bigint").alias("n_lines"), F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("bigint").alias("n_removed"))

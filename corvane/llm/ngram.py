@@ -184,8 +184,15 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """docs without the documents whose group has one with a smaller id (of one id and text, one row stays)."""
-    groups = join(docs, doc_id, text, **options).where(F.col(doc_id).isNull() | (F.col(doc_id) == F.col("class_id"))).select(F.col(doc_id).alias("__id"), F.col("text_key").alias("__key")).distinct()
-    whole = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    kept = whole.alias("d").join(groups.alias("g"), F.col(f"d.{doc_id}").eqNullSafe(F.col("g.__id")) & (F.col("d.__key") == F.col("g.__key")), "left_semi")
-    return kept.drop("__key")
+    """docs without the documents whose group has one with a smaller id; of repeated rows (one id, one text) one stays."""
+    groups = join(docs, doc_id, text, **options).where(F.col(doc_id).isNull() | (F.col(doc_id) == F.col("class_id")))
+    groups = cut(groups.groupBy(F.col(doc_id).alias("__id"), F.col("text_key").alias("__k")).agg(F.count("*").alias("__rows")))
+    whole = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("d")
+
+    def kept(own: DataFrame) -> DataFrame:
+        own = own.alias("g")
+        return whole.join(own, F.col(f"d.{doc_id}").cast("bigint").eqNullSafe(F.col("g.__id")) & (F.col("d.__key") == F.col("g.__k")), "left_semi")
+
+    # Rows without an id are told apart by their text alone, so a repeated one may be another document: all of them stay.
+    once = kept(groups.where("__rows = 1 or __id is null"))
+    return once.unionByName(kept(groups.where("__rows > 1 and __id is not null")).dropDuplicates([doc_id, "__key"])).drop("__key")

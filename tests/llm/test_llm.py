@@ -541,3 +541,26 @@ def test_pipeline(spark):
     assert all(r.n_chars == len(r.text) for r in texts)
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and out.agg(F.sum("length")).first()[0] == sum(len(packing.encoder(queries.vocabulary())(r.text)) + 1 for r in texts)
+
+
+def test_pipeline_cases(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows, clashing columns, an empty table."""
+    import corpus_pipeline
+
+    long = " ".join(f"w{i % 997}" for i in range(20_000))
+    plain = "One plain sentence that stands here on its own, without any trouble."
+    rows = [(1, plain, "en", "a", 3), (1, plain, "en", "a", 3), (2, None, "en", "a", None), (3, "", None, None, 0), (None, "A text whose row has no id at all.", "en", "b", 1), (4, long, "fr", None, 9), (5, plain, "en", "b", 2), (6, "x\ny\n\nz", "en", "b", 7)]
+    clash = {c: F.lit(1) for c in ("score", "gone", "copies", "rid", "node", "n_lines", "n_removed", "root", "row", "size", "bitmap", "key", "pos")}
+    docs = spark.createDataFrame(rows, DOCS).withColumns(clash)
+    labels = spark.createDataFrame([(1, 1, 0), (4, 1, 0), (None, 1, None), (6, None, 0)], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for name, d in (("all", docs), ("none", docs.limit(0))):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            where = str(tmp_path / f"{k}-{name}")
+            out = stage(spark, d, str(tmp_path))
+            if k < 4:
+                assert out.columns == d.columns or set(out.columns) == set(d.columns)
+            out.write.parquet(where)
+            d = spark.read.parquet(where)
+    kept = [r.doc_id for r in spark.read.parquet(str(tmp_path / "2-all")).collect()]
+    assert kept.count(1) == 1 and 5 not in kept and None in kept and 4 in kept
