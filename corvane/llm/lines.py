@@ -80,11 +80,18 @@ def _bin(j: int, of: str = "") -> Column:
 
 
 def _bands() -> Column:
-    """The bucket keys of a node: band and its three bins, where any is filled."""
+    """The bucket keys of a node: band and its three bins.
+
+    A band with a single filled bin says little more than that a line has one common shingle; it counts
+    only for lines so short that most of their bins are empty.
+    """
+    filled = [(_bin(j) != 0).cast("int") for j in range(BINS)]
+    short = sum(filled) < BINS // 2
     keys = []
     for k, (a, b, c) in enumerate(BANDS):
         three = _bin(a).bitwiseOR(F.shiftleft(_bin(b), BITS)).bitwiseOR(F.shiftleft(_bin(c), 2 * BITS))
-        keys.append(F.when(three != 0, three.bitwiseOR(F.lit(k << 3 * BITS).cast("bigint"))))
+        n = filled[a] + filled[b] + filled[c]
+        keys.append(F.when((n >= 2) | (short & (n == 1)), three.bitwiseOR(F.lit(k << 3 * BITS).cast("bigint"))))
     return F.array_compact(F.array(*keys))
 
 
