@@ -144,19 +144,20 @@ def cross_group_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    WITH o AS (SELECT d.doc_id, md5(text) AS clip, n_chars, coalesce(quality, 1) = 1 AS valid FROM documents d LEFT JOIN labels l USING (doc_id)),
-    c AS (SELECT clip, max(doc_id) FILTER (valid) IS NULL AS blocked, min(doc_id) FILTER (valid) AS rep FROM o GROUP BY clip),
-    e AS (SELECT DISTINCT md5(text) AS clip FROM benchmark),
-    f AS (SELECT CASE WHEN NOT valid OR rep IS NULL THEN 'source_invalid' WHEN e.clip IS NOT NULL THEN 'eval_excluded' WHEN doc_id <> rep THEN 'duplicate' WHEN blocked THEN 'blocked' ELSE 'eligible' END AS disposition
-          FROM o JOIN c USING (clip) LEFT JOIN e USING (clip))
+    WITH o AS (SELECT d.doc_id, CASE WHEN length(text) >= 100 THEN md5(text) END AS clip, coalesce(quality, 1) = 1 AS ok FROM documents d LEFT JOIN labels l USING (doc_id)),
+    c AS (SELECT clip, arg_max(doc_id, (ok::INT, -doc_id)) AS rep, bool_or(ok) AS usable FROM o WHERE clip IS NOT NULL GROUP BY clip),
+    e AS (SELECT DISTINCT md5(text) AS clip FROM documents WHERE doc_id % 20 = 7),
+    f AS (SELECT CASE WHEN rep IS NULL THEN 'source_invalid' WHEN e.clip IS NOT NULL THEN 'eval_excluded' WHEN doc_id <> rep THEN 'duplicate' WHEN NOT usable THEN 'blocked' ELSE 'eligible' END AS disposition
+          FROM o LEFT JOIN c USING (clip) LEFT JOIN e USING (clip))
     SELECT disposition, count(*) AS n FROM f GROUP BY disposition
     """
 )
 def disposition_census(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    rows = d.select("doc_id", F.md5("text").alias("clip"), F.lit(1.0).alias("duration"), F.lit(1.0).alias("q"), (F.coalesce("quality", F.lit(1)) == 1).alias("valid"))
-    clips = workset.representatives(rows, "clip", "doc_id", "q", "duration", "valid")
-    fate = workset.dispositions(rows, clips, table(spark, sf_dir, "benchmark").select(F.md5("text").alias("clip")), "clip", "doc_id", "valid")
+    """Fates of documents as occurrences of clips (equal texts); bad labels stand for invalid durations, short texts have no key."""
+    d = table(spark, sf_dir, "documents")
+    rows = d.join(table(spark, sf_dir, "labels"), "doc_id", "left").select("doc_id", F.when(F.length("text") >= 100, F.md5("text")).alias("clip"), F.lit("t").alias("text"), F.lit(1.0).alias("quality"), F.when(F.coalesce("quality", F.lit(1)) == 1, F.lit(1.0)).alias("duration"), F.when(F.col("quality") == 0, F.array(F.lit("invalid_duration"))).alias("errors"))
+    clips = workset.representatives(rows, "clip", "doc_id", ["doc_id"])
+    fate = workset.dispositions(rows, clips, d.where("doc_id % 20 = 7").select(F.md5("text").alias("clip")), "clip", "doc_id")
     return fate.groupBy("disposition").agg(F.count("*").alias("n"))
 
 

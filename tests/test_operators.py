@@ -76,13 +76,42 @@ def test_leakage(spark):
 
 
 def test_workset_adds_up(spark):
-    rows = spark.createDataFrame([(1, "a", 0.5, 10.0, True), (2, "a", 0.9, 10.05, True), (3, "b", None, None, True), (4, "c", 0.1, 1.0, False), (5, "d", 0.2, 1.0, True), (6, "d", 0.2, 9.0, True), (7, "e", 0.3, 2.0, True)], "i int, clip string, q double, d double, ok boolean")
-    clips = workset.representatives(rows, "clip", "i", "q", "d", "ok")
-    got = {r.clip: (r.representative, r.blocked) for r in clips.collect()}
-    assert got == {"a": (2, None), "b": (3, "no_duration"), "c": (4, "no_valid_row"), "d": (5, "duration_conflict"), "e": (7, None)}
-    fate = workset.dispositions(rows, clips, spark.createDataFrame([("e",)], "clip string"), "clip", "i", "ok")
-    assert {r.i: r.disposition for r in fate.collect()} == {1: "duplicate", 2: "eligible", 3: "blocked", 4: "source_invalid", 5: "blocked", 6: "duplicate", 7: "eval_excluded"}
-    assert sum(r.n for r in workset.inventory(fate, "clip").collect() if r.axis == "all") == 7
+    rows = spark.createDataFrame(
+        [
+            (1, "a", 0.5, 10.0, "t", []),
+            (2, "a", 0.9, 10.1, "t", []),
+            (3, "b", 0.1, None, "t", ["missing_duration"]),
+            (4, "c", 0.1, None, "t", ["invalid_duration"]),
+            (5, "d", 0.2, 10.0, "t", []),
+            (6, "d", 0.2, 10.1002, "t", []),
+            (7, "e", 0.3, 2.0, "t", []),
+            (8, "f", 0.9, None, "", None),
+            (9, "f", 0.1, 3.0, "t", []),
+            (10, "f", 0.5, None, "t", ["missing_duration"]),
+            (11, "g", 0.5, 1.0, "t", []),
+            (12, "g", 0.1, 1.0, "t", ["language_mismatch"]),
+            (13, None, 0.1, 1.0, "t", []),
+            (14, "h", 0.5, 1.0, None, []),
+        ],
+        "i int, clip string, quality double, duration double, text string, errors array<string>",
+    )
+    clips = workset.representatives(rows, "clip", "i", ["i"])
+    got = {r.clip: (r.representative, r.duration, r.blocked) for r in clips.collect()}
+    assert got == {
+        "a": (2, 10.1, None),
+        "b": (3, None, "missing_duration"),
+        "c": (4, None, "invalid_duration"),
+        "d": (5, 10.0, "duration_conflict"),
+        "e": (7, 2.0, None),
+        "f": (10, 3.0, None),
+        "g": (11, 1.0, "language_mismatch"),
+        "h": (14, 1.0, "missing_or_invalid_text"),
+    }
+    fate = workset.dispositions(rows, clips, spark.createDataFrame([("e",)], "clip string"), "clip", "i")
+    assert {r.i: r.disposition for r in fate.collect()} == {1: "duplicate", 2: "eligible", 3: "blocked", 4: "blocked", 5: "blocked", 6: "duplicate", 7: "eval_excluded", 8: "duplicate", 9: "duplicate", 10: "eligible", 11: "blocked", 12: "duplicate", 13: "source_invalid", 14: "blocked"}
+    assert sum(r.n for r in workset.inventory(fate, "clip").collect() if r.axis == "all") == 14
+    two = spark.createDataFrame([("x", "en", None), ("x", "fr", None), ("y", "en", "duration_conflict")], "clip string, lang string, blocked string")
+    assert sorted((r.clip, r.blocked) for r in workset.cross_language(two, "clip", "lang").collect()) == [("x", "cross_language_conflict")] * 2 + [("y", "duration_conflict")]
 
 
 def test_select(spark):
