@@ -99,3 +99,10 @@ def issues(text: Column, seconds: Column, lang: str) -> Column:
     loop = F.regexp_like(text, F.lit(r"(?U)(\b\w+\b(?:\s+\w+){0,3})(?:\s+\1){3,}"))
     wrong = (t.letters(text) >= 5) & (t.script_ratio(text, F.lit(lang)) < 0.5)
     return F.array_compact(F.array(F.when(t.one_space(text) == "", "empty"), F.when(loop, "loop"), F.when(wrong, "wrong_script"), F.when((seconds > 5) & (F.size(words) < seconds * 0.3), "truncated")))
+
+
+def formalised(source: Column, final: Column, pairs: dict[str, str]) -> Column:
+    """Markers of the source whose place the formal word has taken: the marker is rarer and its formal word more frequent."""
+    a, b = t.words(source), t.words(final)
+    n = lambda words, w: F.size(F.filter(words, lambda x: x == w))
+    return F.array_compact(F.array(*(F.when((n(a, m) > n(b, m)) & (n(b, f) > n(a, f)), F.lit(f"{m} > {f}")) for m, f in pairs.items())))

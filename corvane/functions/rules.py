@@ -90,3 +90,13 @@ def mixed_radix(index: Column, sizes: list[int]) -> list[Column]:
         out.append(F.pmod(index, F.lit(n)))
         index = F.floor(index / n)
     return out[::-1]
+
+
+def said(*parts: tuple[str, list[Column]]) -> Column:
+    """A rule's facts as sentences: each part is a format and its facts, left out where a fact is missing."""
+    return F.concat_ws(" ", *(F.when(reduce(lambda a, b: a & b, (c.isNotNull() for c in facts), F.lit(True)), F.format_string(form, *facts)) for form, facts in parts))
+
+
+def faults(**rules: Column) -> Column:
+    """Names of the constraints a drawn world breaks; an unknown constraint counts as kept."""
+    return F.array_compact(F.array(*(F.when(~rule, F.lit(name)) for name, rule in rules.items())))

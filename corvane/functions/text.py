@@ -358,3 +358,37 @@ def remap(path: Column, old: str, new: str) -> Column:
 def under(path: Column, root: str) -> Column:
     """A relative path below root; absolute paths as they are."""
     return F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
+
+
+# --- conventions --------------------------------------------------------------
+
+
+def replace_words(text: Column, mapping: dict[str, str]) -> Column:
+    """Whole words exchanged by a table, case and all; white space between them becomes one space."""
+    if not mapping:
+        return text
+    table = F.create_map(*(F.lit(x) for pair in mapping.items() for x in pair))
+    return F.array_join(F.transform(words(text), lambda w: F.coalesce(F.element_at(table, w), w)), " ")
+
+
+def tidy_punctuation(text: Column) -> Column:
+    """No space before a closing mark, one space after it where a letter follows, repeated marks once, dots to an ellipsis."""
+    t = drop(text, r"\.{3,}", "…")
+    t = drop(t, r"([,;:!?،؛؟।])\1+", "$1")
+    t = drop(t, r"\s+([,.;:!?،؛؟।…])", "$1")
+    return one_space(drop(t, r"([,;!?،؛؟।…])(?=\p{L})", "$1 "))
+
+
+def sentence_case(text: Column) -> Column:
+    """A capital at the start of the text and after a full stop, and for the English pronoun."""
+    parts = F.split(text, r"(?<=[.!?])\s+")
+    up = F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, F.lit(2), F.length(p))))
+    return drop(F.array_join(up, " "), r"\bi\b", "I")
+
+
+def dominant_script(text: Column, least: int = 5) -> Column:
+    """The script with most letters, first of equals; null under ``least`` letters."""
+    c = script_counts(text)
+    names = ("latin", "arabic", "han", "devanagari", "malayalam")
+    best = F.greatest(*(c[n] for n in names))
+    return F.when((letters(text) >= least) & (best > 0), F.coalesce(*(F.when(c[n] == best, F.lit(n)) for n in names)))

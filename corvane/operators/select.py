@@ -151,3 +151,58 @@ def place(df: DataFrame, group: str, order: list[str], source: str, text_key: st
 
     laid = df.repartition(F.col(group)).sortWithinPartitions(group, *order)
     return laid.mapInArrow(run, StructType([*df.schema, StructField("outcome", StringType()), StructField("batch", IntegerType())]))
+
+
+def sort_within(df: DataFrame, window: str, group: str, value: str, row: str) -> DataFrame:
+    """``place`` of a row in its window when each group's rows stand by value; groups keep their share of the window."""
+    return df.withColumn("place", F.row_number().over(W.partitionBy(window, group).orderBy(value, row)))
+
+
+def draws(df: DataFrame, group: str, counts: dict[str, int], seed: str = "0") -> DataFrame:
+    """Rows drawn with replacement: counts[g] draws of each group, each an index from a digest; reruns agree.
+
+    Rows get an index within their group and draws meet them by (group, index); a row drawn twice stands twice.
+    """
+    spark = df.sparkSession
+    plan = spark.createDataFrame(list(counts.items()), "__g string, __n bigint")
+    at = df.withColumn("__i", F.row_number().over(W.partitionBy(group).orderBy(*[c for c in df.columns if c != group])) - 1)
+    size = df.groupBy(group).agg(F.count("*").alias("__size"))
+    want = plan.where("__n > 0").select("__g", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n")).alias("draw")).join(size, F.col("__g") == F.col(group))
+    want = want.select("__g", "draw", F.pmod(F.xxhash64(F.lit(seed), "__g", "draw"), "__size").alias("__j"))
+    return want.join(at, (F.col("__g") == F.col(group)) & (F.col("__j") == F.col("__i"))).select(*df.columns, "draw")
+
+
+def pairs(a: DataFrame, b: DataFrame, row: str, n: int) -> DataFrame:
+    """n different pairs of a row of each table, walking the diagonals of their product; rows have dense ids from 0."""
+    na, nb = a.count(), b.count()
+    if not na or not nb:
+        raise ValueError("an empty side has no pairs")
+    i, j = numeric.diagonal_pair(F.col("slot"), na, nb)
+    slots = a.sparkSession.range(min(n, na * nb)).withColumnRenamed("id", "slot").select("slot", i.alias("i"), j.alias("j"))
+    left, right = (d.select(F.col(row).alias(k), *(F.col(c).alias(f"{c}_{k}") for c in d.columns if c != row)) for d, k in ((a, "i"), (b, "j")))
+    return slots.join(left, "i").join(right, "j")
+
+
+def highest_averages(work: dict[str, float], seats: int) -> dict[str, int]:
+    """Seats given one by one to the largest work per seat it would then have; everyone with work gets one first."""
+    import heapq
+
+    out = {k: 1 for k, w in work.items() if w > 0}
+    heap = [(-w / 2, k) for k, w in work.items() if w > 0]
+    heapq.heapify(heap)
+    for _ in range(seats - len(out)):
+        if not heap:
+            break
+        _, k = heapq.heappop(heap)
+        out[k] += 1
+        heapq.heappush(heap, (-work[k] / (out[k] + 1), k))
+    return out
+
+
+def least_loaded(work: dict[str, float], ranks: int) -> dict[str, int]:
+    """Heaviest item first, each to the rank with the least load so far, lowest rank on ties."""
+    load, out = [0.0] * ranks, {}
+    for k in sorted(work, key=lambda k: (-work[k], k)):
+        out[k] = min(range(ranks), key=lambda r: (load[r], r))
+        load[out[k]] += work[k]
+    return out

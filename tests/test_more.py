@@ -171,3 +171,35 @@ def test_planning(spark):
     assert all((r.answer == "insufficient") == (None in (r.total, r.spent, r.requested)) for r in worlds)
     g = spark.createDataFrame([(0, "abcdef", [(1, 3, "bc")]), (1, "abcdef", [(1, 3, "xx")])], "i int, doc string, s array<struct<start:int,end:int,text:string>>")
     assert values(g, planning.grounded(g, "doc", "s")) == [True, False]
+
+
+def test_selection_extras(spark):
+    from corvane.operators import select
+
+    d = spark.createDataFrame([(i, "ab"[i % 2], 10 - i) for i in range(10)], "i int, g string, v int").withColumn("w", F.lit(0))
+    assert [r.i for r in select.sort_within(d, "w", "g", "v", "i").where("g = 'a'").orderBy("place").collect()] == [8, 6, 4, 2, 0]
+    got = select.draws(d, "g", {"a": 7, "b": 3, "none": 4}, "s").collect()
+    assert Counter(r.g for r in got) == {"a": 7, "b": 3}
+    assert sorted(map(tuple, got)) == sorted(map(tuple, select.draws(d, "g", {"a": 7, "b": 3}, "s").collect()))
+    a = spark.createDataFrame([(i, f"a{i}") for i in range(6)], "id bigint, t string")
+    b = spark.createDataFrame([(i, f"b{i}") for i in range(4)], "id bigint, t string")
+    p = select.pairs(a, b, "id", 100).collect()
+    assert len(p) == 24 == len({(r.t_i, r.t_j) for r in p})
+    assert select.highest_averages({"x": 60, "y": 30, "z": 10, "n": 0}, 10) == {"x": 6, "y": 3, "z": 1}
+    assert select.least_loaded({"a": 5, "b": 4, "c": 3, "d": 1}, 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
+
+
+def test_conventions(spark):
+    from corvane.functions import rules
+    from corvane.functions import text as t
+
+    d = column(spark, ["hello ,world !! yes....no", "teh cat", "i am. we go"])
+    assert values(d, t.tidy_punctuation(F.col("x")))[0] == "hello, world! yes… no"
+    assert values(d, t.replace_words(F.col("x"), {"teh": "the"}))[1] == "the cat"
+    assert values(d, t.sentence_case(F.col("x")))[2] == "I am. We go"
+    assert values(column(spark, ["абв", "hello", "नमस्ते दुनिया", "abc नम"]), t.dominant_script(F.col("x"), 3)) == [None, "latin", "devanagari", "latin"]
+    e = spark.createDataFrame([(0, "wee lad", "small lad"), (1, "wee lad", "wee lad")], "i int, a string, b string")
+    assert values(e, compare.formalised(F.col("a"), F.col("b"), {"wee": "small"})) == [["wee > small"], []]
+    f = spark.createDataFrame([(0, 5, None), (1, None, 2)], "i int, x int, y int")
+    assert values(f, rules.said(("x is %d.", [F.col("x")]), ("y is %d.", [F.col("y")]))) == ["x is 5.", "y is 2."]
+    assert values(f, rules.faults(small=F.col("x") < 3, even=F.col("y") % 2 == 0)) == [["small"], []]
