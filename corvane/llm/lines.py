@@ -1,10 +1,11 @@
 """Fuzzy line dedup by MinHash, in DataFrame functions alone.
 
 Lines (trimmed, not blank) are sets of character shingles. Identical lines are one node. A
-node's signature comes from one hash of every shingle: the hash picks one of 16 bins and the bin
+node's signature comes from one hash of every shingle (of eight characters: shorter ones are
+shared by chance by too many lines): the hash picks one of 16 bins and the bin
 keeps its least value. Long lines drop, before the bins, hashes too large to be a bin's least value
 but by a chance of about one in eight (an empty bin is a value too). Eight bands of three bins make
-bucket keys, which finds about 99 in 100 pairs at the threshold and nearly all above 0.85; in each
+bucket keys, which finds 98 to 99 in 100 pairs at the threshold and nearly all above 0.85; in each
 bucket, nodes are compared with the bucket's least and greatest node, so a bucket of any size gives two
 pairs a node. Pairs whose signatures agree in too few bins go; the rest are verified by the exact
 Jaccard index of their shingle sets, and a distributed union-find over verified pairs makes
@@ -62,13 +63,13 @@ BITS = 16
 
 def signatures(lines: DataFrame, width: int) -> DataFrame:
     """k1, n (lines) and q0..q3, sixteen bins of 16 bits each, of each distinct line: one row a shingle, reduced at once to one row a line."""
-    s = lines.select("k1", "k2", _code(F.col("line")).alias("code"))
-    s = s.select("k1", "k2", "code", F.explode(F.sequence(F.lit(0), _last_start(width))).alias("i"))
+    s = lines.select("k1", _code(F.col("line")).alias("code"))
+    s = s.select("k1", "code", F.explode(F.sequence(F.lit(0), _last_start(width))).alias("i"))
     h = F.xxhash64(F.substring("code", F.col("i") * 2 + 1, F.lit(2 * width)))
-    s = s.select("k1", "k2", "i", F.octet_length("code").cast("double").alias("size"), h.alias("h"))
-    s = s.select("k1", "k2", "i", F.shiftrightunsigned("h", 33).cast("int").alias("value"), F.pmod("h", F.lit(BINS)).cast("int").alias("bin"), (F.shiftrightunsigned("h", 33) * F.col("size") <= 2.0**31 * 4 * BINS).alias("low"))
+    s = s.select("k1", "i", F.octet_length("code").cast("double").alias("size"), h.alias("h"))
+    s = s.select("k1", "i", F.shiftrightunsigned("h", 33).cast("int").alias("value"), F.pmod("h", F.lit(BINS)).cast("int").alias("bin"), (F.shiftrightunsigned("h", 33) * F.col("size") <= 2.0**31 * 4 * BINS).alias("low"))
     s = s.where("low or i = 0").withColumn("bin", F.when(F.col("low"), F.col("bin")).otherwise(-1))
-    s = s.groupBy("k1", "k2").agg(F.sum(F.when(F.col("i") == 0, 1).otherwise(0)).alias("n"), *(F.min(F.when(F.col("bin") == j, F.col("value"))).alias(f"b{j}") for j in range(BINS)))
+    s = s.groupBy("k1").agg(F.sum(F.when(F.col("i") == 0, 1).otherwise(0)).alias("n"), *(F.min(F.when(F.col("bin") == j, F.col("value"))).alias(f"b{j}") for j in range(BINS)))
     # Low bits of a least value are as good as random; the high ones are small for every line.
     part = lambda j: F.shiftleft(F.coalesce(F.col(f"b{j}") % (2**BITS - 1) + 1, F.lit(0)).cast("bigint"), BITS * (j % 4))
     quads = [part(j).bitwiseOR(part(j + 1)).bitwiseOR(part(j + 2)).bitwiseOR(part(j + 3)).alias(f"q{j // 4}") for j in range(0, BINS, 4)]
@@ -116,10 +117,10 @@ def _may_hold(key: Column, bits: int) -> Column:
     return F.call_function("shiftrightunsigned", word, F.pmod(h, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
-def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 6, threshold: float = 0.8, bits: int = 1 << 24) -> DataFrame:
+def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 6, threshold: float = 0.8, sketch_width: int = 8, bits: int = 1 << 24) -> DataFrame:
     """doc_id, text_key and the positions (``gone``) of the lines that go, for each document that loses any."""
     lines = _lines(docs, doc_id, text)
-    node = cut(signatures(lines, width))
+    node = cut(signatures(lines, sketch_width))
     banded = node.select("k1", F.explode(_bands()).alias("key"))
     bucket = banded.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high")
     pairs = banded.join(bucket, "key").select("k1", F.explode(F.array("low", "high")).alias("other")).where("k1 <> other")
