@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.ship import ship
@@ -28,6 +28,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def sample(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """The n rows of least ``key`` (a hash); rows that cannot be among them do not leave their task."""
+    total = df.count()
+    share = 1.0 if total == 0 else min(1.0, (1.5 * n + 1000) / total)
+    return df.where(F.pmod(key, F.lit(1 << 30)) < share * (1 << 30)).orderBy(F.pmod(key, F.lit(1 << 30)), key).limit(n)
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v", rounds: int = 60) -> DataFrame:
     """Connected components as (node, root), root the smallest node, for nodes that have an edge.
 

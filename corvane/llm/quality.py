@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from corvane.llm._arrow import Words, mix, slices, spans
+from corvane.llm._spark import sample
 
 _CLASS = np.full(256, 15, np.int64)
 for _i, _own in enumerate(("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", " \t", "\n\r", ".", ",", "!", "?;:", "#$%&*", "|", "\"'()", "-_/", "<>{}[]=+@^~`\\")):
@@ -175,11 +176,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """The network trained on a bounded sample of docs; None without positives or texts."""
     order = F.xxhash64(F.col(doc_id), F.lit(3))
     learn = ~held_out(F.col(doc_id))
-    good = labels.where(learn & (F.col(label) == 1)).select(doc_id).distinct().orderBy(order, doc_id).limit(positives).withColumn("positive", F.lit(True))
-    any_ = docs.where(learn).select(doc_id).orderBy(order, doc_id).limit(unlabelled).distinct().withColumn("positive", F.lit(False))
+    good = sample(labels.where(learn & (F.col(label) == 1)).select(doc_id).distinct(), order, positives).withColumn("positive", F.lit(True))
+    any_ = sample(docs.where(learn).select(doc_id), order, unlabelled).distinct().withColumn("positive", F.lit(False))
     # Both samples are bounded by the two parameters, so they may be broadcast.
-    sample = docs.select(doc_id, F.col(text).cast("string").alias("text")).join(F.broadcast(good.unionByName(any_)), doc_id).select("positive", "text")
-    rows = sample.mapInArrow(_features, "positive boolean, x array<double>").toPandas()
+    texts = docs.select(doc_id, F.col(text).cast("string").alias("text")).join(F.broadcast(good.unionByName(any_)), doc_id).select("positive", "text")
+    rows = texts.mapInArrow(_features, "positive boolean, x array<double>").toPandas()
     p, u = (np.array([*rows["x"][rows["positive"] == flag]]) for flag in (True, False))
     if not len(p) or not len(u):
         return None

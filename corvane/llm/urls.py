@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm._spark import sample
+
 OUT = "page string, host string, path string, rule string, verdict string"
 
 
@@ -53,11 +55,9 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", page: str = "pag
     order = F.struct("key", "path", F.coalesce("page", F.lit("")).alias("page"))
     # A sample of fixed size by hash sets the cuts; it decides how rows are spread, never a result.
     wanted = max(8, p.sparkSession.sparkContext.defaultParallelism * 2)
-    n = pages.count()
-    wanted = max(wanted, -(-n // rows_per_range))
-    sample = [tuple(x[0]) for x in p.select(order.alias("o")).orderBy(F.xxhash64("o")).limit(min(100_000, 64 * wanted)).collect()]
-    sample.sort()
-    cuts = sorted({sample[len(sample) * i // wanted] for i in range(1, wanted)}) if sample else []
+    wanted = max(wanted, -(-pages.count() // rows_per_range))
+    some = sorted(tuple(x[0]) for x in sample(p.select(order.alias("o")), F.xxhash64("o"), min(100_000, 64 * wanted)).collect())
+    cuts = sorted({some[len(some) * i // wanted] for i in range(1, wanted)}) if some else []
     flat = np.array([_code(x) for x in cuts], object)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
