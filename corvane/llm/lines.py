@@ -117,12 +117,19 @@ def _may_hold(key: Column, bits: int) -> Column:
     return F.call_function("shiftrightunsigned", word, F.pmod(h, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
+def _near(rows: DataFrame, keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """rows less most of those whose key is not among keys."""
+    return rows.join(F.broadcast(_filter(keys, key, bits)), _may_hold(F.col(key), bits)).drop("__bitmap")
+
+
 def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 6, threshold: float = 0.8, sketch_width: int = 8, bits: int = 1 << 24) -> DataFrame:
     """doc_id, text_key and the positions (``gone``) of the lines that go, for each document that loses any."""
     lines = _lines(docs, doc_id, text)
     node = cut(signatures(lines, sketch_width))
     banded = node.select("k1", F.explode(_bands()).alias("key"))
-    bucket = banded.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high")
+    bucket = cut(banded.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high"))
+    # A bitmap of fixed size, whatever the input, keeps most rows that no join will want out of the shuffle.
+    banded = _near(banded, bucket, "key", bits)
     pairs = banded.join(bucket, "key").select("k1", F.explode(F.array("low", "high")).alias("other")).where("k1 <> other")
     pairs = pairs.select(F.least("k1", "other").alias("a"), F.greatest("k1", "other").alias("b")).distinct()
     for side in "ab":
@@ -132,8 +139,7 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     met = pairs.select(F.explode(F.array("a", "b")).alias("k1"), F.lit(True).alias("met"))
     some = node.where("n > 1").select("k1", F.lit(False).alias("met")).unionByName(met).groupBy("k1").agg(F.max("met").alias("met"))
     some = cut(some)
-    # A bitmap of fixed size, whatever the input, keeps most lines that no join will want out of the shuffle.
-    near = lines.join(F.broadcast(_filter(some, "k1", bits)), _may_hold(F.col("k1"), bits)).drop("__bitmap")
+    near = _near(lines, some, "k1", bits)
     held = cut(near.join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
     text_of = held.where("met").groupBy("k1").agg(F.min("line").alias("line"))
     both = pairs.join(text_of.toDF("a", "la"), "a").join(text_of.toDF("b", "lb"), "b").select("a", "b", _set("la", width).alias("sa"), _set("lb", width).alias("sb"))
@@ -156,4 +162,4 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int
     touched = own.where("__may").join(marks, (F.col(doc_id).cast("bigint") == F.col("__id")) & (own["__key"] == marks["__key"]), "left").select(*docs.columns, "__gone")
     whole = touched.unionByName(own.where("not __may").select(*docs.columns, F.lit(None).cast("array<int>").alias("__gone")))
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return whole.select(*(F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")), F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("bigint").alias("n_lines"), F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("bigint").alias("n_removed"))
+    return whole.select(*(F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")), F.coalesce(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("bigint").alias("n_lines"), F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("bigint").alias("n_removed"))
