@@ -202,10 +202,15 @@ def mark_ratio(text: Column) -> Column:
     return ratio(count(text, r"\p{M}"), count(text, r"[\p{L}\p{M}]"))
 
 
+def bound(value: Column, body) -> Column:
+    """body(value) with value computed once, however often body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def longest_run(text: Column) -> Column:
     """Length of the longest run of one non-space character; 0 for an empty text."""
-    runs = F.transform(F.regexp_extract_all(text, F.lit(r"((?s:(\S)\2*|\s))"), F.lit(1)), F.length)
-    return F.coalesce(F.array_max(runs), F.lit(0))
+    runs = F.transform(F.regexp_extract_all(text, F.lit(r"((\S)\2+)"), F.lit(1)), F.length)
+    return F.when(F.coalesce(F.length(text), F.lit(0)) == 0, 0).otherwise(F.greatest(F.lit(1), F.array_max(runs)))
 
 
 def words(text: Column) -> Column:
@@ -228,21 +233,26 @@ def content_units(text: Column, lang: Column) -> Column:
 
 def richness(text: Column, lang: Column, full_units: int = 24, full_chars: int = 24) -> Column:
     """0.4 distinct share of units + 0.4 distinct units toward full + 0.2 characters toward full."""
-    units = content_units(text, lang)
-    n, distinct = F.size(units), F.size(F.array_distinct(units))
-    variety = F.when(distinct >= 2, distinct / n).otherwise(0.0)
-    volume = F.least(distinct / F.lit(full_units), F.lit(1.0))
-    band = F.least(F.length(drop(text, r"(?U)^\s+|\s+$")) / F.lit(full_chars), F.lit(1.0))
-    return F.when(n == 0, 0.0).otherwise(F.round(0.4 * variety + 0.4 * volume + 0.2 * band, 4))
+    def score(units: Column) -> Column:
+        n, distinct = F.size(units), F.size(F.array_distinct(units))
+        variety = F.when(distinct >= 2, distinct / n).otherwise(0.0)
+        volume = F.least(distinct / F.lit(full_units), F.lit(1.0))
+        band = F.least(F.length(drop(text, r"(?U)^\s+|\s+$")) / F.lit(full_chars), F.lit(1.0))
+        return F.when(n == 0, 0.0).otherwise(F.round(0.4 * variety + 0.4 * volume + 0.2 * band, 4))
+
+    return bound(content_units(text, lang), score)
 
 
 def top_word_share(text: Column) -> Column:
     """Share of the most frequent word, case aside."""
-    own = F.array_sort(words(F.lower(text)))
-    # Over sorted words, a run is as long as the distance to the last different one.
-    start = F.struct(F.lit("").alias("w"), F.lit(0).alias("n"), F.lit(0).alias("top"))
-    step = F.aggregate(own, start, lambda a, w: F.struct(w.alias("w"), F.when(a["w"] == w, a["n"] + 1).otherwise(1).alias("n"), F.greatest(a["top"], F.when(a["w"] == w, a["n"] + 1).otherwise(1)).alias("top")), lambda a: a["top"])
-    return ratio(step, F.size(own))
+    # Sorted words stand in runs; a run is found by a back-reference and has as many words as spaces.
+    def share(own: Column) -> Column:
+        line = F.concat(F.lit(" "), F.array_join(own, " "))
+        runs = F.regexp_extract_all(line, F.lit(r"(( \S+)(?:\2(?= |$))*)"), F.lit(1))
+        top = F.array_max(F.transform(runs, lambda r: F.length(r) - F.length(F.replace(r, F.lit(" "), F.lit("")))))
+        return F.when(F.size(own) == 0, 0.0).otherwise(top / F.size(own))
+
+    return bound(F.array_sort(words(F.lower(text))), share)
 
 
 def code_switch_ratio(text: Column, lang: Column) -> Column:

@@ -33,7 +33,21 @@ class GateConfig:
     min_richness: float = 0.0
 
 
-def gate(text: Column, lang: Column, duration: Column | None = None, config: GateConfig = GateConfig(), require_duration: bool = True) -> Column:
+def measures(text: Column, lang: Column) -> Column:
+    """What the gate's thresholds are held against."""
+    top = F.when(lang == "zh", F.lit(None).cast("double")).otherwise(t.top_word_share(text))
+    marks = F.when(lang == "ar", t.vocalisation(text))
+    return F.struct(F.length(text).alias("chars"), t.script_ratio(text, lang).alias("ratio"), t.longest_run(text).alias("run"), t.unit_count(text, lang).alias("units"), top.alias("top"), marks.alias("marks"), t.richness(text, lang).alias("rich"))
+
+
+def gated(df: DataFrame, text: str, lang: str, duration: str | None = None, config: GateConfig = GateConfig(), name: str = "gate") -> DataFrame:
+    """df with the gate's struct; measures are a projection of their own, so each is computed once a row."""
+    d = F.col(duration) if duration else None
+    measured = df.withColumn("__measures", measures(F.col(text), F.col(lang)))
+    return measured.withColumn(name, gate(F.col(text), F.col(lang), d, config, m=F.col("__measures"))).drop("__measures")
+
+
+def gate(text: Column, lang: Column, duration: Column | None = None, config: GateConfig = GateConfig(), require_duration: bool = True, m: Column | None = None) -> Column:
     """struct(passed, reasons, chars, script_ratio, char_run, units, top_word, richness, quality, composite) of a text.
 
     Duration reasons stand alone, then emptiness, then contamination; only a text free of those is measured for the rest.
@@ -45,7 +59,7 @@ def gate(text: Column, lang: Column, duration: Column | None = None, config: Gat
         if require_duration:
             early = F.when(~known, "duration_missing_or_nonpositive")
         early = F.coalesce(early, F.when(known & ~d.between(config.min_duration, config.max_duration), "duration_out_of_band"))
-    blank = text.isNull() | (t.one_space(text) == "")
+    blank = text.isNull() | ~F.regexp_like(text, F.lit(r"(?U)\S"))
     early = F.coalesce(early, F.when(blank, "empty_text"))
     dirty = F.array_compact(
         F.array(
@@ -56,12 +70,10 @@ def gate(text: Column, lang: Column, duration: Column | None = None, config: Gat
             F.when(~F.regexp_like(text, F.lit(r"\p{L}")), "no_letters"),
         )
     )
-    chars, ratio, run, units = F.length(text), t.script_ratio(text, lang), t.longest_run(text), t.unit_count(text, lang)
-    top = F.when(lang == "zh", F.lit(None).cast("double")).otherwise(t.top_word_share(text))
-    rich = t.richness(text, lang)
+    m = measures(text, lang) if m is None else m
+    chars, ratio, run, units, top, marks, rich = (m[c] for c in ("chars", "ratio", "run", "units", "top", "marks", "rich"))
     rate = F.when(known, units / d)
     low, high = (F.coalesce(*(F.when(lang == k, F.lit(v[i])) for k, v in RATES.items())) for i in (0, 1))
-    marks = F.when(lang == "ar", t.vocalisation(text))
     late = [
         F.when(chars < config.min_chars, "too_short"),
         F.when(chars > config.max_chars, "too_long"),

@@ -61,8 +61,8 @@ def quality_gate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole gate: verdicts, scores and reasons of every document (checked against plain Python in the tests)."""
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", gates.gate(F.col("text"), F.col("lang")).alias("g")).select("doc_id", "g.*")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return gates.gated(d, "text", "lang").select("doc_id", "gate.*")
 
 
 @query(
