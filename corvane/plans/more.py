@@ -19,7 +19,7 @@ LEXICON = {"formal": ["which", "from", "with*"], "plain": ["that", "the", "and",
     """
     WITH c AS (SELECT c_custkey AS k, c_custkey % 7 AS m FROM customer)
     SELECT CASE m WHEN 0 THEN 'blank_line' WHEN 1 THEN 'malformed_json' WHEN 2 THEN 'not_an_object' WHEN 3 THEN 'missing_path' WHEN 4 THEN 'missing_text' END AS reject_reason,
-           CASE WHEN m = 5 THEN 'boolean_duration' WHEN m = 6 THEN NULL ELSE 'missing_duration' END AS duration_fault, count(*) AS n, round(sum(CASE WHEN m = 6 THEN k + 0.5 END), 2) AS seconds FROM c GROUP BY ALL
+           CASE WHEN m = 5 THEN 'boolean_duration' WHEN m = 6 THEN NULL ELSE 'missing_duration' END AS duration_fault, count(*) AS n, round(sum(CASE WHEN m = 6 THEN k + 0.5::DOUBLE END), 2) AS seconds FROM c GROUP BY ALL
     """
 )
 def tolerant_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,7 +290,7 @@ def _results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return items, done
 
 
-@query(_RESULTS + " SELECT i.k, i.generation FROM i LEFT JOIN r USING (k) WHERE coalesce(status, '') <> 'accepted' AND coalesce(r.generation, -1) < i.generation")
+@query(_RESULTS + " SELECT i.k, i.generation::INTEGER AS generation FROM i LEFT JOIN r USING (k) WHERE coalesce(status, '') <> 'accepted' AND coalesce(r.generation, -1) < i.generation")
 def pending_work(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.pending(*_results(spark, sf_dir), "k")
 
