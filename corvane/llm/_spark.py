@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from corvane.ship import ship
 
 
+#: Rows of an Arrow batch. Texts make rows long, and a batch lies in memory on both sides of the pipe.
+BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table; the session's Arrow batches become shorter unless they have been set already."""
+    if spark.conf.get(BATCH[0], "10000") == "10000":
+        spark.conf.set(*BATCH)
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
