@@ -5,10 +5,11 @@ node's signature comes from one hash of every shingle (of eight characters: shor
 shared by chance by too many lines): the hash picks one of 16 bins and the bin
 keeps its least value. Long lines drop, before the bins, hashes too large to be a bin's least value
 but by a chance of about one in eight (an empty bin is a value too). Eight bands of three bins make
-bucket keys, which finds 98 to 99 in 100 pairs at the threshold and nearly all above 0.85; in each
-bucket, nodes are compared with the bucket's least and greatest node, so a bucket of any size gives two
-pairs a node. Pairs whose signatures agree in too few bins go; the rest are verified by the exact
-Jaccard index of their shingle sets, and a distributed union-find over verified pairs makes
+bucket keys, which finds 98 to 99 in 100 pairs at the threshold and nearly all above 0.85. Nodes are compared
+with the least and the greatest node of each of their buckets first, which links most of a group of near copies;
+then all other nodes of a bucket meet, in blocks, unless they are of one component already. Pairs whose signatures agree
+in too few bins go, and in the blocks those that a parity sketch of both shingle sets proves to be under the threshold; the rest are
+verified by the exact Jaccard index of their shingle sets, and a distributed union-find over verified pairs makes
 components. The first line of a component (smallest document id, then position) stays; all its other
 lines go.
 
@@ -122,31 +123,79 @@ def _near(rows: DataFrame, keys: DataFrame, key: str, bits: int) -> DataFrame:
     return rows.join(F.broadcast(_filter(keys, key, bits)), _may_hold(F.col(key), bits)).drop("__bitmap")
 
 
+#: Words of 64 bits of a parity sketch.
+PARITY = 8
+#: Nodes of a bucket that meet in one task at once.
+BLOCK = 512
+
+
+def _parities(text_of: DataFrame, width: int) -> DataFrame:
+    """k1, size and p0..p7: the number of a line's shingles, and for each of 512 slots whether an odd number of them falls there."""
+    h = text_of.select("k1", F.explode(F.array_distinct(_set("line", width))).alias("h"))
+    h = h.select("k1", F.pmod("h", F.lit(64 * PARITY)).cast("int").alias("slot")).select("k1", F.floor(F.col("slot") / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot") % 64).alias("bit"))
+    return h.groupBy("k1").agg(F.count("*").alias("size"), *(F.coalesce(F.bit_xor(F.when(F.col("word") == j, F.col("bit"))), F.lit(0).cast("bigint")).alias(f"p{j}") for j in range(PARITY)))
+
+
+def _may_reach(a: str, b: str, share: float) -> Column:
+    """False only if the Jaccard index is under ``share``: slots of unlike parity are no more than shingles that one set alone has."""
+    both, apart = F.col(f"{a}size") + F.col(f"{b}size"), sum(F.bit_count(F.col(f"{a}p{j}").bitwiseXOR(F.col(f"{b}p{j}"))) for j in range(PARITY))
+    return both - apart >= share * (both + apart)
+
+
+def _others(member: DataFrame, component: DataFrame, node: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
+    """a, b, ra, rb: the pairs of a bucket's nodes besides its least and greatest that are not of one component (ra, rb) and may be near.
+
+    Every two nodes of a bucket meet in one cell, that of their two blocks, so a large bucket is dealt over many tasks.
+    """
+    own = member.where("k1 <> low and k1 <> high").select("key", "k1").join(component, "k1", "left").withColumn("root", F.coalesce("root", "k1"))
+    live = own.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("first"), F.max("root").alias("last")).where("first < last").select("key", "n")
+    own = cut(own.join(live, "key"))
+    parity = _parities(text_of.join(own.select("k1").distinct(), "k1", "left_semi"), width)
+    full = parity.join(node.drop("n"), "k1")
+    own = own.join(full, "k1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64(F.lit(11), "k1"), F.col("blocks")).cast("int")).drop("n")
+    own = cut(own)
+    named = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("k1", "root", *full.columns[1:])]
+    left = own.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), *named("a"))
+    right = own.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), *named("b"))
+    met = left.join(right, ["key", "i", "j"]).where("(i < j or ak1 < bk1) and aroot <> broot").where(_alike("a", "b", threshold - 0.35) & _may_reach("a", "b", threshold))
+    return met.select(F.least("ak1", "bk1").alias("a"), F.greatest("ak1", "bk1").alias("b"), F.least("aroot", "broot").alias("ra"), F.greatest("aroot", "broot").alias("rb")).distinct()
+
+
+def _verified(pairs: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
+    """The pairs whose shingle sets have a Jaccard index of at least ``threshold``."""
+    both = pairs.join(text_of.toDF("a", "la"), "a").join(text_of.toDF("b", "lb"), "b").select(*pairs.columns, _set("la", width).alias("sa"), _set("lb", width).alias("sb"))
+    both = both.select(*pairs.columns, F.size(F.array_union("sa", "sb")).alias("all"), F.size(F.array_intersect("sa", "sb")).alias("common"))
+    return both.where(F.col("common") >= threshold * F.col("all")).select(*pairs.columns)
+
+
 def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 6, threshold: float = 0.8, sketch_width: int = 8, bits: int = 1 << 24) -> DataFrame:
     """doc_id, text_key and the positions (``gone``) of the lines that go, for each document that loses any."""
     lines = _lines(docs, doc_id, text)
     node = cut(signatures(lines, sketch_width))
     banded = node.select("k1", F.explode(_bands()).alias("key"))
-    bucket = cut(banded.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high"))
+    bucket = cut(banded.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high"), F.count("*").alias("n")).where("low < high"))
     # A bitmap of fixed size, whatever the input, keeps most rows that no join will want out of the shuffle.
     banded = _near(banded, bucket, "key", bits)
-    pairs = banded.join(bucket, "key").select("k1", F.explode(F.array("low", "high")).alias("other")).where("k1 <> other")
+    member = cut(banded.join(bucket, "key"))
+    pairs = member.select("k1", F.explode(F.array("low", "high")).alias("other")).where("k1 <> other")
     pairs = pairs.select(F.least("k1", "other").alias("a"), F.greatest("k1", "other").alias("b")).distinct()
     for side in "ab":
         pairs = pairs.join(node.select(F.col("k1").alias(side), *(F.col(f"q{i}").alias(f"{side}q{i}") for i in range(BINS // 4))), side)
     pairs = cut(pairs.where(_alike("a", "b", threshold - 0.35)).select("a", "b"))
 
-    met = pairs.select(F.explode(F.array("a", "b")).alias("k1"), F.lit(True).alias("met"))
+    # Three nodes have no pair without the least or the greatest.
+    crowd = member.where("n > 3")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("k1")).unionByName(crowd.select("k1")).withColumn("met", F.lit(True))
     some = node.where("n > 1").select("k1", F.lit(False).alias("met")).unionByName(met).groupBy("k1").agg(F.max("met").alias("met"))
     some = cut(some)
     near = _near(lines, some, "k1", bits)
     held = cut(near.join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
     text_of = held.where("met").groupBy("k1").agg(F.min("line").alias("line"))
-    both = pairs.join(text_of.toDF("a", "la"), "a").join(text_of.toDF("b", "lb"), "b").select("a", "b", _set("la", width).alias("sa"), _set("lb", width).alias("sb"))
-    both = both.select("a", "b", F.size(F.array_union("sa", "sb")).alias("all"), F.size(F.array_intersect("sa", "sb")).alias("common"))
-    edges = both.where(F.col("common") >= threshold * F.col("all")).select("a", "b")
-
-    component = components(edges, "a", "b").select(F.col("node").alias("k1"), "root")
+    component = cut(components(_verified(pairs, text_of, width, threshold), "a", "b").select(F.col("node").alias("k1"), "root"))
+    others = cut(_others(crowd, component, node, text_of, width, threshold))
+    joined = cut(components(_verified(others, text_of, width, threshold).select("ra", "rb"), "ra", "rb")).toDF("root", "least")
+    grown = component.join(joined, "root", "left").select("k1", F.coalesce("least", "root").alias("root"))
+    component = grown.unionByName(joined.toDF("k1", "root").join(component, "k1", "left_anti"))
     fate = held.select("k1", "k2", "doc_id", "pos", "text_key").join(component, "k1", "left")
     fate = fate.withColumn("sub", F.when(F.col("root").isNull(), F.col("k2")).otherwise(0)).withColumn("root", F.coalesce("root", "k1"))
     stays = fate.groupBy("root", "sub").agg(F.min(F.struct("doc_id", "pos", "text_key")).alias("stays"))

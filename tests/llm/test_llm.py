@@ -519,6 +519,29 @@ def test_line_dedup(spark):
     assert lines.dedup(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_line_dedup_in_a_crowded_bucket(spark, monkeypatch):
+    """Lines of one template share buckets; a near copy is found though neither line is near the bucket's least or greatest node."""
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 9)))
+    shared, docs = [word() for _ in range(40)], []
+    for i in range(600):
+        own = [word() for _ in range(7)]
+        at = sorted(r.sample(range(40), 7))
+        for copy in (own, [*own[:6], own[6][:-1] + "#"]):
+            text = list(shared)
+            for k, w in zip(reversed(at), reversed(copy), strict=True):
+                text.insert(k, w)
+            docs.append((len(docs), " ".join(text)))
+    want = brute_lines(docs)
+    # Several blocks a bucket.
+    monkeypatch.setattr(lines, "BLOCK", 100, raising=False)
+    got = {x.doc_id: x.text for x in lines.dedup(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    removed = {i for i, t in want.items() if t == ""}
+    found = {i for i, t in got.items() if t == ""}
+    assert len(removed) >= 600 and found <= removed
+    assert len(found) >= 0.99 * len(removed), f"{len(found)} of {len(removed)}"
+
+
 def test_line_dedup_is_native(spark):
     plan = lines.gone(frame(spark, ["a b c d e f g"] * 3))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
