@@ -265,9 +265,8 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of short documents of one language and source whose matching ratio is 0.92 or more (a ratio of sequences has no SQL twin)."""
-    d = table(spark, sf_dir, "benchmark").withColumn("bucket", F.lit(1))
-    return dedup.near_duplicates(d, "item_id", "text", ["bucket"], 0.6)
+    """Pairs of documents of one language and source whose matching ratio is 0.92 or more (a ratio of sequences has no SQL twin)."""
+    return dedup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", ["lang", "source"], 0.92)
 
 
 @query("SELECT doc_id % 16 AS part, count(*) AS n, count(DISTINCT doc_id) AS n_ids FROM documents GROUP BY 1")

@@ -61,6 +61,33 @@ def test_near_duplicates(spark):
     assert [(r.a, r.b) for r in dedup.near_duplicates(d, "id", "t", ["b"]).collect()] == [(1, 2)]
 
 
+def test_near_duplicates_query(spark, tmp_path):
+    """All documents of one language and source meet, against brute force."""
+    import difflib
+
+    from corvane.plans import documents
+
+    r = random.Random(11)
+    words = ["".join(r.choice("abcdefghiklmnoprstu") for _ in range(r.randrange(2, 9))) for _ in range(150)]
+    rows = []
+    for i in range(60):
+        text = " ".join(r.choice(words) for _ in range(r.randrange(1, 60)))
+        place = (r.choice(["en", "fr", None]), r.choice(["s1", "s2"]))
+        rows.append((len(rows), text, *place))
+        for _ in range(2):
+            copy = "".join(c if r.random() > 0.05 else r.choice(["", "é", c + "x"]) for c in text)
+            rows.append((len(rows), copy, *(place if r.random() < 0.8 else ("de", "s1"))))
+    rows += [(len(rows), None, "en", "s1"), (len(rows) + 1, "", "en", "s1"), (len(rows) + 2, "", "en", "s1")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {}
+    for a, t, *p in rows:
+        for b, u, *q in rows[a + 1 :]:
+            if p == q and t is not None and u is not None and (s := difflib.SequenceMatcher(None, t, u, autojunk=False).ratio()) >= 0.92:
+                want[a, b] = s
+    got = documents.near_duplicates(spark, str(tmp_path)).collect()
+    assert len(got) == len(want) > 30 and {(x.a, x.b): x.ratio for x in got} == want
+
+
 def test_leakage(spark):
     a = spark.createDataFrame([(1, "p", "s1"), (2, "q", None), (3, "r", "s3")], "id int, path string, speaker string")
     b = spark.createDataFrame([(9, "q", "s1")], "id int, path string, speaker string")
