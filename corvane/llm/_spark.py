@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.ship import ship
@@ -16,16 +17,19 @@ BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table; the session's Arrow batches become shorter unless they have been set already."""
-    if spark.conf.get(BATCH[0], "10000") == "10000":
+    if BATCH[0] not in spark.conf.getAll:
         spark.conf.set(*BATCH)
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; only a session without one (a test) gets its own."""
+    """The folder all executors share: spark.checkpoint.dir; only a local session without one (a test) gets its own."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corvane-checkpoint-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="corvane-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -35,11 +39,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def sample(df: DataFrame, key: Column, n: int) -> DataFrame:
-    """The n rows of least ``key`` (a hash); rows that cannot be among them do not leave their task."""
-    total = df.count()
+def sample(ids: DataFrame, n: int, seed: int = 3, distinct: bool = True) -> DataFrame:
+    """n rows of ids, those of least hash; rows that cannot be among them do not leave their task.
+
+    Both the share and the hash are of distinct rows, so repeated rows weigh once; ``distinct`` may be off where few rows repeat.
+    """
+    own = ids.distinct() if distinct else ids
+    key = F.xxhash64(*(F.col(c) for c in ids.columns), F.lit(seed))
+    total = own.count()
     share = 1.0 if total == 0 else min(1.0, (1.5 * n + 1000) / total)
-    return df.where(F.pmod(key, F.lit(1 << 30)) < share * (1 << 30)).orderBy(F.pmod(key, F.lit(1 << 30)), key).limit(n)
+    return own.where(F.pmod(key, F.lit(1 << 30)) < share * (1 << 30)).orderBy(F.pmod(key, F.lit(1 << 30)), key).limit(n)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet to a folder of its own under the shared one, and read again; the folder goes when the application ends."""
+    where = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(where)
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return df.sparkSession.read.parquet(where)
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v", rounds: int = 60) -> DataFrame:

@@ -9,7 +9,8 @@ open rules whose path starts its own: the longest host wins, then the longest pa
 
 Null urls and urls without ``://`` have an empty host and path and fit no rule. Rules that are
 null in host or path, or have an empty host, are ignored; of equal rules, ``block`` wins. Repeated
-and tied pages are judged each.
+and tied pages are judged each; very long urls are kept whole; an empty table gives no rows; other
+columns of pages are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,11 +27,16 @@ from corvane.llm._spark import sample
 OUT = "page string, host string, path string, rule string, verdict string"
 
 
+def fold(host: Column) -> Column:
+    """A-Z lower-cased, and no other letter."""
+    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def parts(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path of a url; both empty without ``://``."""
     ok = url.contains("://")
     rest = F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1)
-    host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    host = fold(F.regexp_extract(rest, r"^([^/?#]*)", 1))
     path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
     return F.coalesce(F.when(ok, host), F.lit("")), F.coalesce(F.when(ok, path), F.lit(""))
 
@@ -50,13 +56,13 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", page: str = "pag
     kind = dict(pages.dtypes)[page]
     p = pages.select(F.col(page).cast("string").alias("page"), host.alias("host"), path.alias("path"))
     p = p.select(reverse_host(F.col("host")).alias("key"), "host", "path", "page")
-    r = rules.select(F.lower("host").alias("host"), "path", "verdict").where("host <> '' and path is not null").groupBy("host", "path").agg(F.max(F.struct(F.col("verdict") == "block", "verdict")).getField("verdict").alias("verdict"))
+    r = rules.select(fold(F.col("host")).alias("host"), "path", "verdict").where("host <> '' and path is not null").groupBy("host", "path").agg(F.max(F.struct(F.col("verdict") == "block", "verdict")).getField("verdict").alias("verdict"))
     r = r.select(reverse_host(F.col("host")).alias("key"), "host", "path", "verdict")
     order = F.struct("key", "path", F.coalesce("page", F.lit("")).alias("page"))
     # A sample of fixed size by hash sets the cuts; it decides how rows are spread, never a result.
     wanted = max(8, p.sparkSession.sparkContext.defaultParallelism * 2)
     wanted = max(wanted, -(-pages.count() // rows_per_range))
-    some = sorted(tuple(x[0]) for x in sample(p.select(order.alias("o")), F.xxhash64("o"), min(100_000, 64 * wanted)).collect())
+    some = sorted(tuple(x[0]) for x in sample(p.select(order.alias("o")), min(100_000, 64 * wanted), distinct=False).collect())
     cuts = sorted({some[len(some) * i // wanted] for i in range(1, wanted)}) if some else []
     flat = np.array([_code(x) for x in cuts], object)
 
