@@ -4,9 +4,12 @@ A document of n tokens (its ids, then an end id) is cut into pieces of 2**k toke
 the longest length as fit, then the binary digits of the remainder, longest first. Pieces of one
 length form that length's bucket; each piece is a sequence of its own, so no sequence crosses
 documents, none needs padding, and training batches draw whole sequences from one bucket. Nothing
-is shuffled: a piece's place depends on its own document alone.
+is shuffled: a piece's place depends on its own document alone. ``buckets`` writes the pieces
+partitioned by length, for readers that want equal lengths together.
 
-Null text counts as empty (one end id); empty tables give no rows; repeated rows are packed each.
+Null text counts as empty (one end id); rows with a null id are packed under it; empty tables give no
+rows; repeated rows are packed each; a very long text gives many pieces of the longest length; columns
+of docs other than the two named are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,44 +23,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm._arrow import release
+from corvane.llm._arrow import slices
 
 PIECES = "row bigint, start bigint, length bigint, bucket int, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
-#: Every character up to here is split alike by both tokenizer libraries (a test compares them over the whole range).
-LATIN = 0x24F
+#: Distinct chunks of text whose ids a worker remembers.
+REMEMBERED = 1 << 18
 
 
 @cache
 def encoder(vocabulary: str) -> Callable[[str], list[int]]:
-    """Token ids of a text under a ``tokenizers`` file.
+    """Token ids of a text under a ``tokenizers`` file, as that library gives them without special tokens added.
 
-    Beside byte_bpe_50k.json lies the same vocabulary as ranks. A text of Latin letters is encoded
-    with those, which is several times faster; any other text goes through the ``tokenizers`` file.
+    The byte-level splitter always cuts between a character and the white space after it, so a text
+    may be cut there beforehand; a chunk (white space and the characters after it) seen before is not encoded anew. Texts
+    holding an added token, or a control character that only Python counts as white space, are encoded whole.
     """
-    import base64
-    import os
     import re
 
     from tokenizers import Tokenizer
 
-    @cache
-    def full() -> Tokenizer:
-        t = Tokenizer.from_file(vocabulary)
-        t.encode_special_tokens = True
-        return t
-
-    ranks = os.path.splitext(vocabulary)[0] + ".tiktoken"
-    slow = lambda text: full().encode(text, add_special_tokens=False).ids
-    if not os.path.exists(ranks):
-        return slow
-    import public_tokenizers
-    import tiktoken
-
-    with open(ranks, "rb") as lines:
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
-    other = re.compile(f"[^\x00-{chr(LATIN)}]").search
-    return lambda text: slow(text) if other(text) else fast(text)
+    full = Tokenizer.from_file(vocabulary)
+    cut_freely = getattr(full.pre_tokenizer, "__class__", type(None)).__name__ == "ByteLevel" and full.normalizer is None
+    added = [t.content for t in full.get_added_tokens_decoder().values()]
+    whole = re.compile("|".join(["[\x1c-\x1f\x85]", *map(re.escape, added)])).search
+    chunks = re.compile(r"\s*\S+|\s+").findall
+    known: dict[str, list[int]] = {}
+
+    def encode(text: str) -> list[int]:
+        if not cut_freely or whole(text):
+            return full.encode(text, add_special_tokens=False).ids
+        own = chunks(text)
+        new = [c for c in dict.fromkeys(own) if c not in known]
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = list(dict.fromkeys(own))
+        known.update(zip(new, (e.ids for e in full.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        out: list[int] = []
+        for c in own:
+            out += known[c]
+        return out
+
+    return encode
 
 
 def pieces(n: int, longest: int) -> list[tuple[int, int]]:
@@ -83,29 +89,31 @@ def pack(docs: DataFrame, vocabulary: str, text: str = "text", row: str = "doc_i
 
         encode = encoder(vocabulary)
         number = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                cols: list[list] = [[] for _ in range(5)]
-                tokens: list[np.ndarray] = []
-                for row_id, words in zip(part["row"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    own = np.array([*encode(words or ""), end_id], "<u4")
-                    raw = memoryview(own).cast("B")
-                    for start, size in pieces(len(own), longest):
-                        for col, x in zip(cols, (row_id, start, size, zlib.crc32(raw[4 * start : 4 * (start + size)]), len(own)), strict=True):
-                            col.append(x)
-                    tokens.append(own)
-                rows, starts, sizes, crcs, lengths = (pa.array(c, pa.int64()) for c in cols)
-                n = len(rows)
-                out = [rows, starts, sizes, sizes.cast(pa.int32()), crcs, lengths, pa.array(np.arange(number, number + n)), pa.array(np.zeros(n, np.int64))]
-                number += n
-                names = [c.split()[0] for c in PIECES.split(", ")]
-                if ids:
-                    flat = np.concatenate(tokens).astype(np.int32) if tokens else np.zeros(0, np.int32)
-                    ends = np.concatenate([[0], np.cumsum(sizes.to_numpy())]).astype(np.int32)
-                    out, names = [*out, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*names, "ids"]
-                yield pa.RecordBatch.from_arrays(out, names)
-        release()
+        for part in slices(batches, "text", 4_000_000):
+            cols: list[list] = [[] for _ in range(5)]
+            tokens: list[np.ndarray] = []
+            for row_id, words in zip(part["row"].to_pylist(), part["text"].to_pylist(), strict=True):
+                own = np.array([*encode(words or ""), end_id], "<u4")
+                raw = memoryview(own).cast("B")
+                for start, size in pieces(len(own), longest):
+                    for col, x in zip(cols, (row_id, start, size, zlib.crc32(raw[4 * start : 4 * (start + size)]), len(own)), strict=True):
+                        col.append(x)
+                tokens.append(own)
+            rows, starts, sizes, crcs, lengths = (pa.array(c, pa.int64()) for c in cols)
+            n = len(rows)
+            out = [rows, starts, sizes, sizes.cast(pa.int32()), crcs, lengths, pa.array(np.arange(number, number + n)), pa.array(np.zeros(n, np.int64))]
+            number += n
+            names = [c.split()[0] for c in PIECES.split(", ")]
+            if ids:
+                flat = np.concatenate(tokens).astype(np.int32) if tokens else np.zeros(0, np.int32)
+                ends = np.concatenate([[0], np.cumsum(sizes.to_numpy())]).astype(np.int32)
+                out, names = [*out, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(out, names)
 
     slim = docs.select(F.col(row).cast("bigint").alias("row"), F.col(text).cast("string").alias("text"))
     return slim.mapInArrow(run, PIECES + (", ids array<int>" if ids else "")).withColumnRenamed("row", row)
+
+
+def buckets(packed: DataFrame, path: str) -> None:
+    """Writes the sequences under ``path``, one folder for each length; a length's rows are spread over tasks as they lie."""
+    packed.write.partitionBy("bucket").parquet(path)
