@@ -5,7 +5,8 @@ stream, multiplexed with a second logical stream of text comments. The reader ve
 page's checksum, sorts pages into logical streams by serial number, reassembles packets from the
 lacing values (packets may cross pages), and derives times from granule positions.
 
-Null text counts as empty. Equal payloads give equal bytes: serial numbers are drawn from content.
+Null text counts as empty; rows with a null id and repeated rows each give a row; an empty table gives
+none; a very long text gives many pages; other columns are ignored, whatever their names. Equal payloads give equal bytes: serial numbers are drawn from content.
 A page that is cut short, out of sequence or fails its checksum raises ``OggError``.
 """
 
@@ -22,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm._arrow import slices
+
 UNIT = 576
 RATE = 8000
 HEAD = struct.Struct("<4sBBqIIIB")
@@ -150,17 +153,16 @@ def media(docs: DataFrame, text: str = "text", row: str = "doc_id", unit: int =
     """One row per document: digests and features of its payload as read back, and the stored bytes (``media``) if ``stored``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part, out = batch.slice(at, 256), []
-                for row_id, words in zip(part["row"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    raw = (words or "").encode()
-                    kept = write(raw + b"\xff" * (-len(raw) % unit or (0 if raw else unit)), unit)
-                    back, info = samples(kept)
-                    out.append((row_id, len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(kept), hashlib.sha256(kept).hexdigest(), feature(back, info), *([kept] if stored else [])))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
-                names = [*(c.split()[0] for c in ROWS.split(", ")), "media"][: len(types) if stored else -1]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=False)], names)
+        for part in slices(batches, "text", 4_000_000):
+            out = []
+            for row_id, words in zip(part["row"].to_pylist(), part["text"].to_pylist(), strict=True):
+                raw = (words or "").encode()
+                kept = write(raw + b"\xff" * (-len(raw) % unit or (0 if raw else unit)), unit)
+                back, info = samples(kept)
+                out.append((row_id, len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(kept), hashlib.sha256(kept).hexdigest(), feature(back, info), *([kept] if stored else [])))
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
+            names = [*(c.split()[0] for c in ROWS.split(", ")), "media"][: len(types) if stored else -1]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=False)], names)
 
     slim = docs.select(F.col(row).cast("bigint").alias("row"), F.col(text).cast("string").alias("text"))
     return slim.mapInArrow(run, ROWS + (", media binary" if stored else "")).withColumnRenamed("row", row)
