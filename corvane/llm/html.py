@@ -8,9 +8,13 @@ trimmed and with single spaces, are joined in page order.
 
 The network is trained here, on pages drawn from a grammar of layouts (articles under many
 names, menus, headers, footers, sidebars, notices, adverts, forms, comments), once a driver.
-Scripts, styles, comments and head matter are markup and never become blocks.
+Scripts, styles, comments and head matter are markup and never become blocks. Formulas, fallback text
+of media and everything else are blocks for the network to judge.
 
-Null and empty html gives an empty text; html cut off in the middle of a tag loses only that tag.
+Null and empty html gives an empty text; html cut off in the middle of a tag loses only that tag, and an
+element without an end tag loses nothing but, as in a browser, what follows an open script or style. Very
+long pages are read in stretches that hand their states on. Repeated rows are read each; an input column called like
+the output (``text``) is replaced, all others are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
-from corvane.llm._arrow import Words
+from corvane.llm._arrow import Words, slices
 
 # Element names of the HTML standard by how they shape text.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+FORMULA = frozenset("math mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-OPAQUE = frozenset("script style noscript template iframe object svg math head title textarea select canvas audio video".split())
+OPAQUE = frozenset("script style template iframe head title textarea".split())
+RAW = frozenset(["script", "style"])
 CLOSED_BY = {"p": frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)", re.S)
@@ -76,15 +82,14 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         name, closing = name.lower(), (m[1] or m[4]) == "/"
         if name in OPAQUE:
             if not closing and not m[0].endswith("/>"):
-                if name != "select" and name not in INLINE:
-                    close()
+                close()
                 gone = _end_of(name).search(page, at)
                 if gone:
                     at = gone.end()
-                elif name != "head":
+                elif name in RAW:
                     at = end
             continue
-        if name in INLINE:
+        if name in INLINE or name in FORMULA:
             if name == "a":
                 in_link = 0 if closing else 1
             continue
@@ -114,8 +119,8 @@ def _labels(name: str, attributes: str) -> tuple[str, ...]:
     own = [name]
     for key, a, b, c in NAMED.findall(attributes) if attributes else ():
         value = a or b or c
-        own.append(f"{key.lower()}={value.lower()}"[:40])
-        own += [f".{x.lower()}" for x in PARTS.findall(value)[:6]]
+        own.append(f"{key.lower()}={value.lower()}")
+        own += [f".{x.lower()}" for x in PARTS.findall(value)]
     return tuple(own)
 
 
@@ -134,8 +139,9 @@ def _path(tokens: tuple[str, ...]) -> np.ndarray:
     return v
 
 
-def vectors(page: list[tuple[tuple[str, ...], str, float]]) -> np.ndarray:
-    """One row a block."""
+def vectors(page: list[tuple[tuple[str, ...], str, float]], start: int = 0, end: int | None = None) -> np.ndarray:
+    """One row a block, of blocks start to end of the page."""
+    whole, page = len(page), page[start:end]
     x = np.zeros((len(page), WIDTH), np.float32)
     texts = [t for _, t, _ in page]
     w = Words(pa.array(texts, pa.large_string()))
@@ -145,7 +151,7 @@ def vectors(page: list[tuple[tuple[str, ...], str, float]]) -> np.ndarray:
         x[:, 2 * PATH : 2 * PATH + WORD] = np.sqrt(counts / np.maximum(1, n)[:, None])
     for i, (path, text, link) in enumerate(page):
         x[i, : 2 * PATH] = _path(path)
-        x[i, -SIZES:] = (np.log1p(n[i]) / 5, link, text[-1] in ".!?\"”»", min(len(path), 20) / 10, i / max(1, len(page) - 1), np.log1p(len(page)) / 5, "©" in text or "|" in text, text.count(",") / (n[i] + 1))
+        x[i, -SIZES:] = (np.log1p(n[i]) / 5, link, text[-1] in ".!?\"”»", min(len(path), 20) / 10, (start + i) / max(1, whole - 1), np.log1p(whole) / 5, "©" in text or "|" in text, text.count(",") / (n[i] + 1))
     return x
 
 
@@ -219,18 +225,55 @@ class Labeller:
             self.p[k] = (self.p[k] - rate * (self.m[k] / (1 - 0.9**self.t)) / (np.sqrt(self.v[k] / (1 - 0.999**self.t)) + 1e-8)).astype(np.float32)
         return float(np.where(mask, np.logaddexp(0, out) - y * out, 0).sum() / n)
 
-    def label(self, pages: list[np.ndarray], together: int = 128) -> list[np.ndarray]:
-        """Main text or not, for each block of each page; pages of like length are read together."""
+    def _read(self, z: np.ndarray, mask: np.ndarray, k: int, state: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """One direction's share of the logits over projected inputs z, and the state it ends in; nothing else is kept."""
+        u, v = self.p[k + 1], self.p[6][:HIDDEN] if k == 0 else self.p[6][HIDDEN:]
+        h, c = state
+        out = np.zeros(mask.shape, np.float32)
+        for t in range(len(z)):
+            i, f, o, g = self._gates(z[t] + h @ u)
+            m = mask[t][:, None]
+            c = np.where(m, f * c + i * g, c)
+            h = np.where(m, o * np.tanh(c), h)
+            out[t] = h @ v
+        return out, (h, c)
+
+    def _together(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """logits() without tapes."""
+        out = np.full(mask.shape, self.p[7][0], np.float32)
+        for k, way in ((0, 1), (3, -1)):
+            z = (x.reshape(-1, x.shape[2]) @ self.p[k] + self.p[k + 2]).reshape(*mask.shape, -1)
+            out += self._read(z[::way], mask[::way], k, tuple(np.zeros((2, mask.shape[1], HIDDEN), np.float32)))[0][::way]
+        return out
+
+    def _long(self, page: list[tuple[tuple[str, ...], str, float]], stretch: int) -> np.ndarray:
+        """Logits of one page too long to lie in memory as vectors: stretch by stretch, the state handed on."""
+        out = np.full(len(page), self.p[7][0], np.float32)
+        starts = list(range(0, len(page), stretch))
+        for k, way in ((0, 1), (3, -1)):
+            state = tuple(np.zeros((2, 1, HIDDEN), np.float32))
+            for at in starts[::way]:
+                x = vectors(page, at, at + stretch)
+                z = (x @ self.p[k] + self.p[k + 2])[::way, None]
+                own, state = self._read(z, np.ones(z.shape[:2], bool), k, state)
+                out[at : at + stretch] += own[::way, 0]
+        return out
+
+    def label(self, pages: list[list[tuple[tuple[str, ...], str, float]]], together: int = 128, most: int = 12_000) -> list[np.ndarray]:
+        """Main text or not, for each block of each page; pages of like length are read together, at most ``most`` blocks at once."""
         out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
         order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
         at = 0
         while at < len(order):
             own = [order[at]]
-            while at + len(own) < len(order) and len(own) < together and len(pages[order[at + len(own)]]) * (len(own) + 1) <= 12_000:
+            while at + len(own) < len(order) and len(own) < together and len(pages[order[at + len(own)]]) * (len(own) + 1) <= most:
                 own.append(order[at + len(own)])
             at += len(own)
-            x, mask = _padded([pages[i] for i in own])
-            good = self.logits(x, mask) > 0
+            if len(pages[own[0]]) > most:
+                out[own[0]] = self._long(pages[own[0]], most) > 0
+                continue
+            x, mask = _padded([vectors(pages[i]) for i in own])
+            good = self._together(x, mask) > 0
             for j, i in enumerate(own):
                 out[i] = good[: len(pages[i]), j]
         return out
@@ -259,18 +302,23 @@ OTHER = {
 }
 
 
-def _open(spec: str) -> tuple[str, str]:
+def _open(spec: str, more: str = "") -> tuple[str, str]:
+    """A start and an end tag; ``more`` are class names of layout put before those of ``spec``."""
     name = re.match(r"\w+", spec)[0]
     if "[" in spec:
         key, value = re.search(r"\[(.*)=(.*)\]", spec).groups()
         return f'<{name} {key}="{value}">', f"</{name}>"
     if "." in spec:
-        return f'<{name} class="{spec.split(".")[1]}">', f"</{name}>"
+        return f'<{name} class="{more}{spec.split(".")[1]}">', f"</{name}>"
     if "#" in spec:
         return f'<{name} id="{spec.split("#")[1]}">', f"</{name}>"
     return f"<{name}>", f"</{name}>"
 
 
+# Class names of layout frameworks that say nothing about what a part is.
+LAYOUT = ["col-md-12 ", "row ", "col-sm-6 ", "clearfix ", "mb-3 ", "d-flex ", "container-fluid ", "u-pad "]
+
+
 class Grammar:
     """Draws pages whose main blocks carry a mark that is taken off again when blocks are read."""
 
@@ -295,8 +343,11 @@ class Grammar:
             words[1] = f"<{(t := self.pick(['b', 'em', 'i', 'span', 'strong']))}>{words[1]}</{t}>"
         return mark + " ".join(words)
 
+    def layout(self) -> str:
+        return "".join(self.pick(LAYOUT) for _ in range(int(self.r.integers(1, 9)))) if self.r.random() < 0.2 else ""
+
     def noise(self, kind: str, depth: int = 0) -> str:
-        a, z = _open(self.pick(OTHER[kind]))
+        a, z = _open(self.pick(OTHER[kind]), self.layout())
         link = lambda: f'<a href="/{self.pick(self.words)}">{self.text(1, 5)}</a>'
         n = int(self.r.integers(1, 7))
         if kind in ("menu", "share") or kind == "side" and self.r.random() < 0.4:
@@ -340,8 +391,10 @@ class Grammar:
                 out.append("<table>" + "".join(f"<tr><td>{self.text(1, 5, m)}</td><td>{self.text(1, 5, m)}</td></tr>" for _ in range(int(self.r.integers(1, 4)))) + "</table>")
             elif roll < 0.93:
                 out.append(f"<figure><img src=x><figcaption>{self.text(2, 14, m)}</figcaption></figure>")
-            elif roll < 0.95:
+            elif roll < 0.945:
                 out.append(f"<div>{self.text(2, 60, m)}</div>")
+            elif roll < 0.95:
+                out.append(f"<{(t := self.pick(['video', 'svg', 'object', 'canvas']))}>{self.text(2, 12, m)}</{t}>")
             else:
                 out.append(self.noise(self.pick(["ad", "side", "share", "note", "form", "menu"])))
         return "".join(out)
@@ -352,19 +405,20 @@ class Grammar:
         self.r.shuffle(kinds)
         before = "".join(self.noise(k) for k in kinds)
         after = "".join(self.noise(k) for k in ("ad", "share", "talk", "side", "note", "form") if r() < 0.22) + (self.noise("foot") if r() < 0.85 else "")
-        a, z = _open(self.pick(MAIN if r() < 0.6 else ["article"]))
+        a, z = _open(self.pick(MAIN if r() < 0.6 else ["article"]), self.layout())
         body = before + (self.noise("side") if r() < 0.15 else "") + a + self.main() + (self.noise("talk") if r() < 0.12 else "") + z + after
         if r() < 0.35:
             b, y = _open(self.pick(["div.wrapper", "div#page", "div.container", "main", "div.row", "section"]))
             body = b + body + y
         return f"<!DOCTYPE html><html><head><title>{self.text(1, 8)}</title><style>p{{}}</style></head><body>{body}" + ("</body></html>" if r() < 0.9 else "")
 
-    def sample(self, n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    def sample(self, n: int) -> tuple[list[list], list[np.ndarray]]:
+        """Pages as blocks, and which of their blocks are main text."""
         xs, ys = [], []
         for _ in range(n):
             own = blocks(self.page())
             ys.append(np.array([self.MARK in t for _, t, _ in own], np.float32))
-            xs.append(vectors([(p, t.replace(self.MARK, "") or "x", k) for p, t, k in own]))
+            xs.append([(p, t.replace(self.MARK, "") or "x", k) for p, t, k in own])
         return xs, ys
 
 
@@ -372,6 +426,7 @@ class Grammar:
 def trained(pages: int = 2400, epochs: int = 9, together: int = 48) -> Labeller:
     """The labeller fitted to drawn pages; the same each time."""
     xs, ys = Grammar(7).sample(pages)
+    xs = [vectors(x) for x in xs]
     net, rng = Labeller(), np.random.Generator(np.random.PCG64(3))
     for epoch in range(epochs):
         order = sorted(range(pages), key=lambda i: len(xs[i]) + rng.uniform(0, 6))
@@ -392,12 +447,9 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFra
     names = [c for c in pages.columns if c not in (html, text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                read = [blocks(x or "") for x in part[html].to_pylist()]
-                good = net.label([vectors(x) for x in read])
-                out = [" ".join(t for (_, t, _), ok in zip(x, g, strict=True) if ok) for x, g in zip(read, good, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in names), pa.array(out, pa.string())], [*names, text])
+        for part in slices(batches, html, 1_500_000):
+            read = [blocks(x or "") for x in part[html].to_pylist()]
+            out = [" ".join(t for (_, t, _), ok in zip(x, g, strict=True) if ok) for x, g in zip(read, net.label(read), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(part[c] for c in names), pa.array(out, pa.string())], [*names, text])
 
     return pages.select(*names, html).mapInArrow(run, StructType([*(pages.schema[c] for c in names), StructField(text, StringType())]))
