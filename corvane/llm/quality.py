@@ -1,14 +1,16 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives and unlabelled web text train a small network on dense features of whole texts by
+Trusted positives and unlabelled web text train a small network on features of whole texts (shares of
+character classes, shapes, repetition, hashed words and hashed three-byte grams) by
 minimising the non-negative unbiased risk ``prior * E_p[l(+)] + max(0, E_u[l(-)] - prior * E_p[l(-)])``.
 The prior, the share of positives among unlabelled texts, is estimated from the data: for every
 set A, prior <= P_u(A) / P_p(A), and the least such ratio over the score tails of a plain
-positive-against-unlabelled fit is taken. Negative labels are never used.
+positive-against-unlabelled fit on the surface features is taken. Negative labels are never used.
 
-Training reads at most ``positives`` and ``unlabelled`` rows, those of least id hash; scores are
-computed for every row from its whole text. Null text counts as empty. Without positives every
-score is 0.5.
+Training reads at most ``positives`` and ``unlabelled`` distinct ids, those of least hash (of rows sharing
+an id, one text); scores are computed for every row from its whole text. Null and empty texts are texts
+without words; very long texts count whole; equal texts have equal scores. Without positives every score is 0.5; an empty
+table gives no rows. An input column called like the score (``name``) is replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from corvane.llm._arrow import Words, mix, slices, spans
+from corvane.llm._arrow import Words, arrays, mix, slices, spans
 from corvane.llm._spark import sample
 
 _CLASS = np.full(256, 15, np.int64)
@@ -29,6 +31,9 @@ for _i, _own in enumerate(("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuv
     _CLASS[[ord(c) for c in _own]] = _i
 _CLASS[0x80:] = 14
 N_CLASSES = 16
+#: Buckets of hashed words and of hashed three-byte grams, after SURFACE features.
+SURFACE, WORDS, GRAMS = 57, 128, 64
+HASHED = 0.1
 
 
 def _per_doc(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -81,15 +86,26 @@ def features(texts: pa.Array) -> np.ndarray:
         cols += [np.log1p(np.diff(bounds)), np.log1p(_per_doc(words, bounds) / n_lines), _distinct(line_hash, bounds) / n_lines, _per_doc(ended, bounds) / n_lines, _per_doc(words <= 3, bounds) / n_lines]
     else:
         cols += [np.zeros(n_docs)] * 5
-    return np.nan_to_num(np.column_stack([shares, np.sqrt(shares), *cols]))
+    surface = np.column_stack([shares, np.sqrt(shares), *cols])
+    bag = np.bincount(w.doc() * WORDS + (w.hash % np.uint64(WORDS)).astype(np.int64), minlength=n_docs * WORDS).reshape(n_docs, WORDS) / per[:, None]
+    low = np.where((w.raw >= 65) & (w.raw <= 90), w.raw + 32, w.raw).astype(np.uint32)
+    three = ((low[:-2] * np.uint32(0x9E3779B1)) ^ (low[1:-1] * np.uint32(0x85EBCA77)) ^ (low[2:] * np.uint32(0xC2B2AE3D))) * np.uint32(0x27D4EB2F) >> np.uint32(16)
+    inner = owner[2:] == owner[:-2]
+    grams = np.bincount((owner[:-2] * GRAMS + (three % np.uint32(GRAMS)).astype(np.int64))[inner], minlength=n_docs * GRAMS).reshape(n_docs, GRAMS) / np.maximum(1, size - 2)[:, None]
+    return np.nan_to_num(np.column_stack([surface, np.sqrt(bag), np.sqrt(grams)])).astype(np.float32)
 
 
 class Net:
-    """Features to score: standardise, one tanh layer, one logit."""
+    """Features to score: standardise, one tanh layer, one logit.
+
+    The many hashed features weigh ``HASHED`` times as much as the few surface features, so that they decide where
+    much is learned from and do not drown the others where little is.
+    """
 
     def __init__(self, x: np.ndarray, hidden: int, seed: int):
         rng = np.random.Generator(np.random.PCG64(seed))
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
+        self.scale[SURFACE:] /= HASHED
         d = x.shape[1]
         self.w = [rng.normal(0, d**-0.5, (d, hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), np.zeros(1)]
         self.state = [(np.zeros_like(p), np.zeros_like(p)) for p in self.w]
@@ -169,34 +185,34 @@ def held_out(doc_id: Column) -> Column:
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, "text"):
         x = features(b["text"])
-        yield pa.RecordBatch.from_arrays([b["positive"], pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))], ["positive", "x"])
+        yield pa.RecordBatch.from_arrays([b["positive"], arrays(x.ravel(), np.arange(len(x) + 1) * x.shape[1])], ["positive", "x"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", positives: int = 6000, unlabelled: int = 8000) -> Net | None:
     """The network trained on a bounded sample of docs; None without positives or texts."""
-    order = F.xxhash64(F.col(doc_id), F.lit(3))
     learn = ~held_out(F.col(doc_id))
-    good = sample(labels.where(learn & (F.col(label) == 1)).select(doc_id).distinct(), order, positives).withColumn("positive", F.lit(True))
-    any_ = sample(docs.where(learn).select(doc_id), order, unlabelled).distinct().withColumn("positive", F.lit(False))
-    # Both samples are bounded by the two parameters, so they may be broadcast.
-    texts = docs.select(doc_id, F.col(text).cast("string").alias("text")).join(F.broadcast(good.unionByName(any_)), doc_id).select("positive", "text")
-    rows = texts.mapInArrow(_features, "positive boolean, x array<double>").toPandas()
-    p, u = (np.array([*rows["x"][rows["positive"] == flag]]) for flag in (True, False))
+    good = sample(labels.where(learn & (F.col(label) == 1)).select(doc_id), positives).withColumn("positive", F.lit(True))
+    any_ = sample(docs.where(learn).select(doc_id), unlabelled).withColumn("positive", F.lit(False))
+    # Both samples are bounded by the two parameters, so they may be broadcast; one text an id bounds what is gathered.
+    texts = docs.select(doc_id, F.col(text).cast("string").alias("text")).join(F.broadcast(good.unionByName(any_)), doc_id)
+    texts = texts.groupBy(doc_id, "positive").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("positive", "text")
+    rows = texts.mapInArrow(_features, "positive boolean, x array<float>").toPandas()
+    p, u = (np.array([*rows["x"][rows["positive"] == flag]], float) for flag in (True, False))
     if not len(p) or not len(u):
         return None
     # Rows come in any order; a fixed order makes the fit the same each time.
     p, u = (x[np.lexsort(x.T[::-1])] for x in (p, u))
-    return train(p, u, class_prior(p, u))
+    return train(p, u, class_prior(p[:, :SURFACE], u[:, :SURFACE]))
 
 
-def score(docs: DataFrame, net: Net | None, text: str = "text") -> DataFrame:
-    """docs with ``score``, 0 to 1, higher where a positive is likelier."""
-    docs = docs.drop("score")
+def score(docs: DataFrame, net: Net | None, text: str = "text", name: str = "score") -> DataFrame:
+    """docs with the score (``name``), 0 to 1, higher where a positive is likelier."""
+    docs = docs.drop(name)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, text):
             s = np.full(b.num_rows, 0.5) if net is None else sigmoid(net.logit(features(b[text])))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema, StructField("score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField(name, DoubleType())]))
