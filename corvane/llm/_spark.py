@@ -51,13 +51,26 @@ def sample(ids: DataFrame, n: int, seed: int = 3, distinct: bool = True) -> Data
     return own.where(F.pmod(key, F.lit(1 << 30)) < share * (1 << 30)).orderBy(F.pmod(key, F.lit(1 << 30)), key).limit(n)
 
 
+def _folder(spark: SparkSession, where: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to a folder of its own under the shared one, and read again; the folder goes when the application ends."""
-    where = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    where = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(where)
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(where)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return df.sparkSession.read.parquet(where)
+    path, files = _folder(spark, where)
+    files.deleteOnExit(path)
+    return spark.read.parquet(where)
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the folder of a table that ``stored`` gave and nothing will read again."""
+    for where in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path, files = _folder(df.sparkSession, where)
+        files.delete(path, True)
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v", rounds: int = 60) -> DataFrame:
