@@ -5,16 +5,17 @@ node's signature comes from one hash of every shingle (of eight characters: shor
 shared by chance by too many lines): the hash picks one of 16 bins and the bin
 keeps its least value. Long lines drop, before the bins, hashes too large to be a bin's least value
 but by a chance of about one in eight (an empty bin is a value too). Eight bands of three bins make
-bucket keys, which finds 98 to 99 in 100 pairs at the threshold and nearly all above 0.85. Nodes are compared
-with the least and the greatest node of each of their buckets first, which links most of a group of near copies;
-then all other nodes of a bucket meet, in blocks, unless they are of one component already. Pairs whose signatures agree
-in too few bins go, and in the blocks those that a parity sketch of both shingle sets proves to be under the threshold; the rest are
+bucket keys, which finds 98 to 99 in 100 pairs at the threshold and nearly all above 0.85. Of the nodes of its
+buckets' ends each node meets the likest one first, which links most of a group of near copies; then all nodes of a
+bucket meet, in blocks, unless they are of one component already. Pairs whose signatures agree
+in too few bins go, and later those that a parity sketch of both shingle sets proves to be under the threshold; the rest are
 verified by the exact Jaccard index of their shingle sets, and a distributed union-find over verified pairs makes
 components. The first line of a component (smallest document id, then position) stays; all its other
 lines go.
 
 Null texts and rows with a null id stay as they are; blank lines stay. Rows sharing an id and a text
-are one document.
+are one document: they lose the same lines. Very long lines are lines like others; an empty table gives no rows. Columns of docs
+called like the two counts are replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -28,7 +29,12 @@ BLANKS = " \t\r\f\v"
 
 
 def _trim(line: Column) -> Column:
-    return F.trim(line, F.lit(BLANKS))
+    """line without blanks at its ends; the slow function runs only where there are some."""
+    ends = [test(F.lit(c)) for c in BLANKS for test in (line.startswith, line.endswith)]
+    some = ends[0]
+    for x in ends[1:]:
+        some = some | x
+    return F.when(some, F.trim(line, F.lit(BLANKS))).otherwise(line)
 
 
 def _code(line: Column) -> Column:
@@ -97,9 +103,13 @@ def _bands() -> Column:
     return F.array_compact(F.array(*keys))
 
 
+def _same(a: str, b: str) -> Column:
+    return sum(((_bin(j, a) == _bin(j, b)) & (_bin(j, a) != 0)).cast("int") for j in range(BINS))
+
+
 def _alike(a: str, b: str, share: float) -> Column:
     """Whether two signatures agree in at least such a share of the bins that either has filled."""
-    same = sum(((_bin(j, a) == _bin(j, b)) & (_bin(j, a) != 0)).cast("int") for j in range(BINS))
+    same = _same(a, b)
     either = sum(((_bin(j, a) != 0) | (_bin(j, b) != 0)).cast("int") for j in range(BINS))
     return same >= share * either
 
@@ -124,16 +134,18 @@ def _near(rows: DataFrame, keys: DataFrame, key: str, bits: int) -> DataFrame:
 
 
 #: Words of 64 bits of a parity sketch.
-PARITY = 8
+PARITY = 16
 #: Nodes of a bucket that meet in one task at once.
 BLOCK = 512
 
 
-def _parities(text_of: DataFrame, width: int) -> DataFrame:
-    """k1, size and p0..p7: the number of a line's shingles, and for each of 512 slots whether an odd number of them falls there."""
-    h = text_of.select("k1", F.explode(F.array_distinct(_set("line", width))).alias("h"))
+def _sets(text_of: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """k1, set (shingle hashes), size, and p0..p15: for each of 1,024 slots whether an odd number of the shingles falls there."""
+    own = cut(text_of.join(nodes, "k1").select("k1", F.array_distinct(_set("line", width)).alias("set")))
+    h = own.select("k1", F.explode("set").alias("h"))
     h = h.select("k1", F.pmod("h", F.lit(64 * PARITY)).cast("int").alias("slot")).select("k1", F.floor(F.col("slot") / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot") % 64).alias("bit"))
-    return h.groupBy("k1").agg(F.count("*").alias("size"), *(F.coalesce(F.bit_xor(F.when(F.col("word") == j, F.col("bit"))), F.lit(0).cast("bigint")).alias(f"p{j}") for j in range(PARITY)))
+    parity = h.groupBy("k1").agg(*(F.coalesce(F.bit_xor(F.when(F.col("word") == j, F.col("bit"))), F.lit(0).cast("bigint")).alias(f"p{j}") for j in range(PARITY)))
+    return cut(own.withColumn("size", F.size("set")).join(parity, "k1"))
 
 
 def _may_reach(a: str, b: str, share: float) -> Column:
@@ -142,30 +154,45 @@ def _may_reach(a: str, b: str, share: float) -> Column:
     return both - apart >= share * (both + apart)
 
 
-def _others(member: DataFrame, component: DataFrame, node: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
-    """a, b, ra, rb: the pairs of a bucket's nodes besides its least and greatest that are not of one component (ra, rb) and may be near.
+def _signed(pairs: DataFrame, node: DataFrame) -> DataFrame:
+    """pairs with the signatures of both nodes."""
+    for side in "ab":
+        pairs = pairs.join(node.select(F.col("k1").alias(side), *(F.col(f"q{i}").alias(f"{side}q{i}") for i in range(BINS // 4))), side)
+    return pairs
+
+
+def _others(member: DataFrame, node: DataFrame, threshold: float) -> DataFrame:
+    """a, b: the pairs of a bucket's nodes that are not of one component (``root`` of member) and whose signatures are alike.
 
     Every two nodes of a bucket meet in one cell, that of their two blocks, so a large bucket is dealt over many tasks.
     """
-    own = member.where("k1 <> low and k1 <> high").select("key", "k1").join(component, "k1", "left").withColumn("root", F.coalesce("root", "k1"))
-    live = own.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("first"), F.max("root").alias("last")).where("first < last").select("key", "n")
-    own = cut(own.join(live, "key"))
-    parity = _parities(text_of.join(own.select("k1").distinct(), "k1", "left_semi"), width)
-    full = parity.join(node.drop("n"), "k1")
-    own = own.join(full, "k1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64(F.lit(11), "k1"), F.col("blocks")).cast("int")).drop("n")
-    own = cut(own)
-    named = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("k1", "root", *full.columns[1:])]
+    live = member.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("first"), F.max("root").alias("last")).where("first < last").select("key", "n")
+    own = member.select("key", "k1", "root").join(cut(live), "key").join(node.drop("n"), "k1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    own = cut(own.withColumn("block", F.pmod(F.xxhash64(F.lit(11), "k1"), F.col("blocks")).cast("int")).drop("n"))
+    named = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("k1", "root", *node.drop("k1", "n").columns)]
     left = own.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), *named("a"))
     right = own.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), *named("b"))
-    met = left.join(right, ["key", "i", "j"]).where("(i < j or ak1 < bk1) and aroot <> broot").where(_alike("a", "b", threshold - 0.35) & _may_reach("a", "b", threshold))
-    return met.select(F.least("ak1", "bk1").alias("a"), F.greatest("ak1", "bk1").alias("b"), F.least("aroot", "broot").alias("ra"), F.greatest("aroot", "broot").alias("rb")).distinct()
+    met = left.join(right, ["key", "i", "j"]).where("(i < j or ak1 < bk1) and aroot <> broot").where(_alike("a", "b", threshold - 0.35))
+    return met.select(F.least("ak1", "bk1").alias("a"), F.greatest("ak1", "bk1").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard index of at least ``threshold``."""
-    both = pairs.join(text_of.toDF("a", "la"), "a").join(text_of.toDF("b", "lb"), "b").select(*pairs.columns, _set("la", width).alias("sa"), _set("lb", width).alias("sb"))
-    both = both.select(*pairs.columns, F.size(F.array_union("sa", "sb")).alias("all"), F.size(F.array_intersect("sa", "sb")).alias("common"))
-    return both.where(F.col("common") >= threshold * F.col("all")).select(*pairs.columns)
+    both = pairs.join(text_of.toDF("a", "la"), "a").join(text_of.toDF("b", "lb"), "b").select("a", "b", _set("la", width).alias("sa"), _set("lb", width).alias("sb"))
+    both = both.select("a", "b", F.size(F.array_union("sa", "sb")).alias("all"), F.size(F.array_intersect("sa", "sb")).alias("common"))
+    return both.where(F.col("common") >= threshold * F.col("all")).select("a", "b")
+
+
+def _verified_sets(pairs: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
+    """_verified for nodes that are in many pairs each: a set is made once, and the sketches of most pairs decide."""
+    sets = _sets(text_of, cut(pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()), width)
+    for side in "ab":
+        pairs = pairs.join(sets.drop("set").select(*(F.col(c).alias(side if c == "k1" else f"{side}{c}") for c in sets.drop("set").columns)), side)
+    pairs = cut(pairs.where(_may_reach("a", "b", threshold)).select("a", "b"))
+    for side in "ab":
+        pairs = pairs.join(sets.select(F.col("k1").alias(side), F.col("set").alias(f"s{side}")), side)
+    both = pairs.select("a", "b", (F.size("sa") + F.size("sb")).alias("sum"), F.size(F.array_union("sa", "sb")).alias("all"))
+    return both.where(F.col("sum") - F.col("all") >= threshold * F.col("all")).select("a", "b")
 
 
 def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 6, threshold: float = 0.8, sketch_width: int = 8, bits: int = 1 << 24) -> DataFrame:
@@ -173,42 +200,50 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     lines = _lines(docs, doc_id, text)
     node = cut(signatures(lines, sketch_width))
     banded = node.select("k1", F.explode(_bands()).alias("key"))
-    bucket = cut(banded.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high"), F.count("*").alias("n")).where("low < high"))
+    bucket = cut(banded.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high"), F.count("*").alias("n"), F.bit_xor("k1").alias("mixed")).where("low < high"))
+    # Of two or three nodes the ends and the exclusive or of all say which they are; only larger buckets are dealt again.
+    third = F.when(F.col("n") == 3, F.col("mixed").bitwiseXOR(F.col("low")).bitwiseXOR(F.col("high")))
+    small = bucket.where("n <= 3").select("low", "high", third.alias("third"))
+    pairs = small.select(F.explode(F.array(F.array("low", "high"), F.array("low", "third"), F.array("high", "third"))).alias("p")).select(F.col("p")[0].alias("x"), F.col("p")[1].alias("y")).where("y is not null")
+    crowd = bucket.where("n > 3").select("key", "low", "high")
     # A bitmap of fixed size, whatever the input, keeps most rows that no join will want out of the shuffle.
-    banded = _near(banded, bucket, "key", bits)
-    member = cut(banded.join(bucket, "key"))
-    pairs = member.select("k1", F.explode(F.array("low", "high")).alias("other")).where("k1 <> other")
-    pairs = pairs.select(F.least("k1", "other").alias("a"), F.greatest("k1", "other").alias("b")).distinct()
-    for side in "ab":
-        pairs = pairs.join(node.select(F.col("k1").alias(side), *(F.col(f"q{i}").alias(f"{side}q{i}") for i in range(BINS // 4))), side)
-    pairs = cut(pairs.where(_alike("a", "b", threshold - 0.35)).select("a", "b"))
+    member = cut(_near(banded, crowd, "key", bits).join(crowd, "key"))
+    pairs = pairs.unionByName(member.select(F.col("k1").alias("x"), F.explode(F.array("low", "high")).alias("y")).where("x <> y"))
+    pairs = _signed(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), node)
+    pairs = cut(pairs.where(_alike("a", "b", threshold - 0.35)).select("a", "b", _same("a", "b").alias("same")))
+    first = cut(pairs.groupBy("b").agg(F.max(F.struct("same", "a")).getField("a").alias("a")))
 
-    # Three nodes have no pair without the least or the greatest.
-    crowd = member.where("n > 3")
-    met = pairs.select(F.explode(F.array("a", "b")).alias("k1")).unionByName(crowd.select("k1")).withColumn("met", F.lit(True))
+    met = pairs.select(F.explode(F.array("a", "b")).alias("k1")).unionByName(member.select("k1")).withColumn("met", F.lit(True))
     some = node.where("n > 1").select("k1", F.lit(False).alias("met")).unionByName(met).groupBy("k1").agg(F.max("met").alias("met"))
     some = cut(some)
     near = _near(lines, some, "k1", bits)
     held = cut(near.join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
-    text_of = held.where("met").groupBy("k1").agg(F.min("line").alias("line"))
-    component = cut(components(_verified(pairs, text_of, width, threshold), "a", "b").select(F.col("node").alias("k1"), "root"))
-    others = cut(_others(crowd, component, node, text_of, width, threshold))
-    joined = cut(components(_verified(others, text_of, width, threshold).select("ra", "rb"), "ra", "rb")).toDF("root", "least")
-    grown = component.join(joined, "root", "left").select("k1", F.coalesce("least", "root").alias("root"))
-    component = grown.unionByName(joined.toDF("k1", "root").join(component, "k1", "left_anti"))
+    text_of = cut(held.where("met").groupBy("k1").agg(F.min("line").alias("line")))
+    root = lambda df, component, of, to: df.join(component.select(F.col("node").alias(of), F.col("root").alias(to)), of, "left").withColumn(to, F.coalesce(to, of))
+    edges = cut(_verified(first, text_of, width, threshold))
+    component = cut(components(edges, "a", "b"))
+    rest = root(root(pairs.drop("same"), component, "a", "ra"), component, "b", "rb").where("ra <> rb").select("a", "b").join(first, ["a", "b"], "left_anti")
+    edges = cut(edges.unionByName(_verified(rest, text_of, width, threshold)))
+    component = cut(components(edges, "a", "b"))
+    rest = cut(_others(root(member.select("key", "k1"), component, "k1", "root"), node, threshold))
+    edges = edges.unionByName(_verified_sets(rest, text_of, width, threshold))
+    component = cut(components(edges, "a", "b").select(F.col("node").alias("k1"), "root"))
     fate = held.select("k1", "k2", "doc_id", "pos", "text_key").join(component, "k1", "left")
     fate = fate.withColumn("sub", F.when(F.col("root").isNull(), F.col("k2")).otherwise(0)).withColumn("root", F.coalesce("root", "k1"))
-    stays = fate.groupBy("root", "sub").agg(F.min(F.struct("doc_id", "pos", "text_key")).alias("stays"))
+    # Written, so that the join below reads both sides from shuffles and a group with very many lines can be split.
+    stays = cut(fate.groupBy("root", "sub").agg(F.min(F.struct("doc_id", "pos", "text_key")).alias("stays")))
     out = fate.join(stays, ["root", "sub"]).where("(doc_id, pos, text_key) <> (stays.doc_id, stays.pos, stays.text_key)")
-    return out.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone"))
+    return cut(out.select("doc_id", "text_key", "pos")).groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone"))
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 1 << 24, **options) -> DataFrame:
-    """docs with the lines that go taken out of ``text``, and n_lines and n_removed (lines before, lines gone)."""
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 1 << 24, counts: tuple[str, str] = ("n_lines", "n_removed"), **options) -> DataFrame:
+    """docs with the lines that go taken out of ``text``, and two ``counts``: lines before, lines gone."""
     marks = cut(gone(docs, doc_id, text, bits=bits, **options)).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("gone").alias("__gone"))
     own = docs.withColumn("__key", _key(F.col(text))).join(F.broadcast(_filter(marks, "__key", bits)), F.lit(True))
     own = own.withColumn("__may", F.coalesce(_may_hold(F.col("__key"), bits), F.lit(False))).drop("__bitmap")
     touched = own.where("__may").join(marks, (F.col(doc_id).cast("bigint") == F.col("__id")) & (own["__key"] == marks["__key"]), "left").select(*docs.columns, "__gone")
     whole = touched.unionByName(own.where("not __may").select(*docs.columns, F.lit(None).cast("array<int>").alias("__gone")))
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return whole.select(*(F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")), F.coalesce(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("bigint").alias("n_lines"), F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("bigint").alias("n_removed"))
+    n_lines = F.coalesce(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("bigint")
+    rest = [F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in docs.columns if c not in counts]
+    return whole.select(*rest, n_lines.alias(counts[0]), F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("bigint").alias(counts[1]))
