@@ -614,6 +614,44 @@ def test_line_dedup_in_a_crowded_bucket(spark, monkeypatch):
     assert len(found) >= 0.99 * len(removed), f"{len(found)} of {len(removed)}"
 
 
+def test_line_dedup_in_groups_of_distant_copies(spark):
+    """Groups of a line and one to nine variants of it at Jaccard 0.80 to 0.86: the share of all lines that should go, and do."""
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 9)))
+    grams = lambda t: {t[i : i + 6] for i in range(max(1, len(t) - 5))}
+    docs = []
+    for k in range(120):
+        base = [word() for _ in range(r.randrange(30, 90))]
+        docs.append(" ".join(base))
+        for _ in range(1 + k % 9):
+            own, low = list(base), grams(" ".join(base))
+            while True:
+                own[r.randrange(len(own))] = word()
+                new = grams(" ".join(own))
+                j = len(low & new) / len(low | new)
+                if j < 0.8:
+                    own = list(base)
+                elif j <= 0.86:
+                    break
+            docs.append(" ".join(own))
+    order = list(range(len(docs)))
+    r.shuffle(order)
+    rows = [(i, docs[k]) for i, k in enumerate(order)]
+    want = {i for i, t in brute_lines(rows).items() if t == ""}
+    got = {x.doc_id for x in lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect() if x.n_removed}
+    print(f"found {len(got)} of {len(want)} lines in groups")
+    assert got <= want and len(got) >= 0.95 * len(want), f"{len(got)} of {len(want)}"
+
+
+def test_line_dedup_cases(spark):
+    """Repeated rows, null ids, counts and columns of the same names."""
+    d = spark.createDataFrame([(1, "one line here\nother line there"), (1, "one line here\nother line there"), (None, "one line here"), (2, "one line here\r\n\t"), (3, "\U0001f600 " * 9)], "doc_id bigint, text string").withColumn("n_removed", F.lit(-5))
+    got = sorted(((x.doc_id, x.text, x.n_lines, x.n_removed) for x in lines.dedup(d).collect()), key=str)
+    assert got == sorted([(1, "one line here\nother line there", 2, 0)] * 2 + [(None, "one line here", 1, 0), (2, "\t", 2, 1), (3, "\U0001f600 " * 9, 1, 0)], key=str)
+    named = lines.dedup(d, counts=("a", "b")).collect()
+    assert {x.n_removed for x in named} == {-5} and sum(x.b for x in named) == 1
+
+
 def test_line_dedup_is_native(spark):
     plan = lines.gone(frame(spark, ["a b c d e f g"] * 3))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
@@ -657,5 +695,8 @@ def test_pipeline_cases(spark, tmp_path):
                 assert out.columns == d.columns or set(out.columns) == set(d.columns)
             out.write.parquet(where)
             d = spark.read.parquet(where)
+    for k in range(4):
+        stage = spark.read.parquet(str(tmp_path / f"{k}-all"))
+        assert stage.count() > 0 and all(r[c] == 1 for r in stage.collect() for c in clash), corpus_pipeline.STAGES[k][0]
     kept = [r.doc_id for r in spark.read.parquet(str(tmp_path / "2-all")).collect()]
     assert kept.count(1) == 1 and 5 not in kept and None in kept and 4 in kept
