@@ -1,17 +1,19 @@
-"""Substring dedup by relative Lempel-Ziv phrases over an indexed reference.
+"""Substring dedup by relative Lempel-Ziv parsing against an indexed reference.
 
 A window is ``width`` consecutive words. The words of a document covered by a window that also
 starts in a document with a smaller id are duplicate. The reference, all documents with smaller
-ids, is indexed by anchors: of the 26 word 25-grams in a window the leftmost with the least hash
-is its anchor, so equal windows have equal anchors at equal places, wherever they stand. The
-stretch covered by the consecutive windows of one anchor is a phrase. A document is parsed phrase
-by phrase against every indexed reference block: a phrase that a smaller document holds whole is a factor, and all of its
-windows are duplicate. At factor boundaries, where an anchor is shared but the phrases around it differ,
-each window of the phrase is looked up on its own. Both lookups are minima by key, combined before
-the shuffle, so a passage that all documents share costs one row a task, and the result is exact.
-
-Phrases are compared by 128 bits of hash. Null texts have no words; rows with a null id are left
-alone and hide nothing; rows sharing an id are not duplicates of each other.
+ids, is indexed by hashes of word 25-grams chosen by content: of the 26 grams in a window the leftmost with the least hash
+is its anchor, so equal windows have equal anchors at equal places, wherever they stand. The index lies in blocks by
+anchor; the anchor of a stretch says which block alone can hold it, so looking there is looking in every block.
+The stretch covered by the consecutive windows of one anchor is a phrase. A document is parsed greedily from left to right: a
+factor takes in one phrase after another as long as the index holds each whole in a smaller document, and breaks where the
+reference does; ``factors`` names each factor's stretch and reference. At factor boundaries, where an anchor is shared
+but the phrases around it differ, each window of the phrase is looked up on its own. Both lookups are minima by key, combined before
+the shuffle, and joins read written tables on both sides, so that a passage that all documents share can be split. The result is exact.
+
+Phrases are compared by 128 bits of hash. Null and empty texts have no words; rows with a null id are left
+alone and hide nothing; rows sharing an id are not duplicates of each other; a very long text is parsed whole; an empty
+table gives no rows; other columns are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -80,19 +82,19 @@ def phrases(keyed: DataFrame, width: int, whole: bool) -> DataFrame:
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 50, texts: bool = True) -> DataFrame:
-    """One row per document: n_words, n_removed, kept_sha256, and unless ``texts`` is off the removed word ranges (``spans``) and the kept text.
+    """One row per document: n_words, n_removed, kept_sha256, and unless ``texts`` is off the removed word ranges (``spans``), the ``factors`` (word range and reference) and the kept text.
 
     Words are hashed anew in each pass over the texts, which is cheaper than storing the phrases of
     every document; what is shuffled is one short row a phrase, and the texts once.
     """
     keyed = _keyed(docs, doc_id, text)
-    shared = phrases(keyed, width, False).groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
+    shared = cut(phrases(keyed, width, False).groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor"))
     found = cut(phrases(keyed, width, True).join(shared, "anchor"))
     phrase = found.groupBy("anchor", "phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     several = phrase.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", F.lit(True).alias("several"))
-    factor = phrase.join(several, "anchor", "left").where("several or last > first").drop("last")
+    factor = cut(phrase.join(several, "anchor", "left").where("several or last > first").drop("last"))
     hits = found.join(factor, ["anchor", "phrase"]).where("doc_id > first or several")
-    hits = hits.groupBy("doc_id").agg(F.collect_set(F.when(F.col("doc_id") > F.col("first"), F.col("phrase"))).alias("whole"), F.collect_set(F.when(F.col("doc_id") == F.col("first"), F.col("phrase"))).alias("open"))
+    hits = hits.groupBy("doc_id").agg(F.collect_set(F.when(F.col("doc_id") > F.col("first"), F.struct("phrase", "first"))).alias("whole"), F.collect_set(F.when(F.col("doc_id") == F.col("first"), F.col("phrase"))).alias("open"))
     hits = cut(hits)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +117,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
     single = looked.join(least, ["k1", "k2"]).where("doc_id > first").groupBy("doc_id").agg(F.collect_set("k1").alias("single"))
     fate = hits.where("size(whole) > 0").select("doc_id", "whole").join(single, "doc_id", "full_outer")
 
-    kind = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", spans array<struct<start:int,end:int>>, kept string" if texts else "")
+    kind = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", spans array<struct<start:int,end:int>>, factors array<struct<start:int,end:int,reference:bigint>>, kept string" if texts else "")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -127,10 +129,21 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
                 start, n = w.first[i], len(words)
                 gone = np.zeros(n + 1, np.int64)
                 a, z = bounds[i], bounds[i + 1]
+                factors: list[list[int]] = []
                 if whole.is_valid:
-                    hit = a + np.flatnonzero(np.isin(phrase[a:z], whole.values.to_numpy()))
-                    np.add.at(gone, lo[hit] - start, 1)
-                    np.add.at(gone, hi[hit] + width - start, -1)
+                    known, refs = (whole.values.field(c).to_numpy() for c in ("phrase", "first"))
+                    order = np.argsort(known, kind="stable")
+                    at = np.minimum(np.searchsorted(known[order], phrase[a:z]), len(known) - 1)
+                    held = known[order][at] == phrase[a:z]
+                    for k in np.flatnonzero(held):
+                        low, high, ref = int(lo[a + k] - start), int(hi[a + k] + width - start), int(refs[order][at[k]])
+                        if factors and factors[-1][2] == ref and low <= factors[-1][1]:
+                            factors[-1][1] = high
+                        else:
+                            factors.append([low, high, ref])
+                    for low, high, _ in factors:
+                        gone[low] += 1
+                        gone[high] -= 1
                 if single.is_valid and n >= width:
                     at = np.arange(start, start + n - width + 1)
                     hit = at[np.isin(mix(spans(w.hash, at, at + width, "word")).view(np.int64), single.values.to_numpy())] - start
@@ -142,10 +155,10 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
                 row = (n, int(dead.sum()), hashlib.sha256(joined).hexdigest())
                 if texts:
                     edge = np.flatnonzero(np.diff(np.concatenate([[False], dead, [False]]).astype(np.int8)))
-                    row += ([{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2], strict=True)], joined.decode())
+                    row += ([{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2], strict=True)], [dict(zip(("start", "end", "reference"), f, strict=True)) for f in factors], joined.decode())
                 out.append(row)
-            types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.string()]
-            names = ["n_words", "n_removed", "kept_sha256", "spans", "kept"]
+            types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("reference", pa.int64())])), pa.string()]
+            names = ["n_words", "n_removed", "kept_sha256", "spans", "factors", "kept"]
             cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=False)]
             yield pa.RecordBatch.from_arrays([b["doc_id"], *cols], ["doc_id", *names[: len(cols)]])
 
