@@ -479,6 +479,12 @@ def test_substring(spark, width):
     want = brute_substring([(i, words(t)) for i, t in zip(ids, texts, strict=True)], width)
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == want
     for r in got:
+        own, dead = words(texts[ids.index(r.doc_id)]), {k for s in r.spans for k in range(s["start"], s["end"])}
+        for f in r.factors:
+            assert f["reference"] < r.doc_id and set(range(f["start"], f["end"])) <= dead and f["end"] - f["start"] >= width
+            ref = words(texts[ids.index(f["reference"])])
+            first = own[f["start"] : f["start"] + width]
+            assert any(ref[k : k + width] == first for k in range(len(ref)))
         assert sum(s["end"] - s["start"] for s in r.spans) == r.n_removed and hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256
 
 
@@ -488,6 +494,8 @@ def test_substring_cases(spark):
     d = spark.createDataFrame([(1, long), (1, long), (None, long), (2, long), (2, "short")], "doc_id bigint, text string")
     got = sorted(((r.doc_id, r.n_words, r.n_removed) for r in substring.dedup(d, texts=False).collect()), key=str)
     assert got == sorted([(1, 60, 0), (1, 60, 0), (None, 60, 0), (2, 60, 60), (2, 1, 0)], key=str)
+    one = {r.doc_id: r for r in substring.dedup(frame(spark, [long, "x " * 5000 + long, "x " * 3000])).collect()}
+    assert one[1].n_removed == 60 and one[2].n_removed == 3000 and one[2].factors == [(0, 3000, 1)]
 
 
 # --- 9: ogg -----------------------------------------------------------------
