@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.ship import ship
@@ -73,6 +73,25 @@ def discard(df: DataFrame) -> None:
         files.delete(path, True)
 
 
+def bitmap(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """One row: a bitmap of fixed size (``bits``) that has the bit of every key set."""
+    h = F.pmod(F.xxhash64(key), F.lit(bits))
+    words = keys.select(h.alias("h")).groupBy(F.floor(F.col("h") / 64).alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("h", F.lit(64)).cast("int"))).alias("w"))
+    whole = keys.sparkSession.range(bits // 64).join(words, "id", "left").select("id", F.coalesce("w", F.lit(0).cast("bigint")).alias("w"))
+    return whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "w"))), lambda x: x["w"]).alias("__bitmap"))
+
+
+def may_hold(key: Column, bits: int) -> Column:
+    h = F.pmod(F.xxhash64(key), F.lit(bits))
+    word = F.get("__bitmap", F.floor(h / 64).cast("int"))
+    return F.call_function("shiftrightunsigned", word, F.pmod(h, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def near(rows: DataFrame, keys: DataFrame, key: str, bits: int = 1 << 24) -> DataFrame:
+    """rows less most of those whose key is not among keys."""
+    return rows.join(F.broadcast(bitmap(keys, key, bits)), may_hold(F.col(key), bits)).drop("__bitmap")
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v", rounds: int = 60) -> DataFrame:
     """Connected components as (node, root), root the smallest node, for nodes that have an edge.
 
@@ -85,7 +104,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v", rounds: int = 60) -
     seen = None
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Written, so that the join reads both sides from shuffles and a node with very many neighbours can be split.
+        low = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm._spark import components, cut
+from corvane.llm._spark import bitmap, components, cut, may_hold, near
 
 BLANKS = " \t\r\f\v"
 
@@ -114,25 +114,6 @@ def _alike(a: str, b: str, share: float) -> Column:
     return same >= share * either
 
 
-def _filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
-    """One row: a bitmap of fixed size (``bits``) that has the bit of every key set."""
-    h = F.pmod(F.xxhash64(key), F.lit(bits))
-    words = keys.select(h.alias("h")).groupBy(F.floor(F.col("h") / 64).alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("h", F.lit(64)).cast("int"))).alias("w"))
-    whole = keys.sparkSession.range(bits // 64).join(words, "id", "left").select("id", F.coalesce("w", F.lit(0).cast("bigint")).alias("w"))
-    return whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "w"))), lambda x: x["w"]).alias("__bitmap"))
-
-
-def _may_hold(key: Column, bits: int) -> Column:
-    h = F.pmod(F.xxhash64(key), F.lit(bits))
-    word = F.get("__bitmap", F.floor(h / 64).cast("int"))
-    return F.call_function("shiftrightunsigned", word, F.pmod(h, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
-
-
-def _near(rows: DataFrame, keys: DataFrame, key: str, bits: int) -> DataFrame:
-    """rows less most of those whose key is not among keys."""
-    return rows.join(F.broadcast(_filter(keys, key, bits)), _may_hold(F.col(key), bits)).drop("__bitmap")
-
-
 #: Words of 64 bits of a parity sketch.
 PARITY = 16
 #: Nodes of a bucket that meet in one task at once.
@@ -207,7 +188,7 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     pairs = small.select(F.explode(F.array(F.array("low", "high"), F.array("low", "third"), F.array("high", "third"))).alias("p")).select(F.col("p")[0].alias("x"), F.col("p")[1].alias("y")).where("y is not null")
     crowd = bucket.where("n > 3").select("key", "low", "high")
     # A bitmap of fixed size, whatever the input, keeps most rows that no join will want out of the shuffle.
-    member = cut(_near(banded, crowd, "key", bits).join(crowd, "key"))
+    member = cut(near(banded, crowd, "key", bits).join(crowd, "key"))
     pairs = pairs.unionByName(member.select(F.col("k1").alias("x"), F.explode(F.array("low", "high")).alias("y")).where("x <> y"))
     pairs = _signed(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), node)
     pairs = cut(pairs.where(_alike("a", "b", threshold - 0.35)).select("a", "b", _same("a", "b").alias("same")))
@@ -216,8 +197,7 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     met = pairs.select(F.explode(F.array("a", "b")).alias("k1")).unionByName(member.select("k1")).withColumn("met", F.lit(True))
     some = node.where("n > 1").select("k1", F.lit(False).alias("met")).unionByName(met).groupBy("k1").agg(F.max("met").alias("met"))
     some = cut(some)
-    near = _near(lines, some, "k1", bits)
-    held = cut(near.join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
+    held = cut(near(lines, some, "k1", bits).join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
     text_of = cut(held.where("met").groupBy("k1").agg(F.min("line").alias("line")))
     root = lambda df, component, of, to: df.join(component.select(F.col("node").alias(of), F.col("root").alias(to)), of, "left").withColumn(to, F.coalesce(to, of))
     edges = cut(_verified(first, text_of, width, threshold))
@@ -239,8 +219,8 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 1 << 24, counts: tuple[str, str] = ("n_lines", "n_removed"), **options) -> DataFrame:
     """docs with the lines that go taken out of ``text``, and two ``counts``: lines before, lines gone."""
     marks = cut(gone(docs, doc_id, text, bits=bits, **options)).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("gone").alias("__gone"))
-    own = docs.withColumn("__key", _key(F.col(text))).join(F.broadcast(_filter(marks, "__key", bits)), F.lit(True))
-    own = own.withColumn("__may", F.coalesce(_may_hold(F.col("__key"), bits), F.lit(False))).drop("__bitmap")
+    own = docs.withColumn("__key", _key(F.col(text))).join(F.broadcast(bitmap(marks, "__key", bits)), F.lit(True))
+    own = own.withColumn("__may", F.coalesce(may_hold(F.col("__key"), bits), F.lit(False))).drop("__bitmap")
     touched = own.where("__may").join(marks, (F.col(doc_id).cast("bigint") == F.col("__id")) & (own["__key"] == marks["__key"]), "left").select(*docs.columns, "__gone")
     whole = touched.unionByName(own.where("not __may").select(*docs.columns, F.lit(None).cast("array<int>").alias("__gone")))
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("__gone", i)), "\n")
