@@ -1,16 +1,20 @@
 """N-gram Jaccard join through a MinHash LSH forest.
 
 Documents are sets of five-word shingles. Documents of one set are one class. Each class has a
-signature of ``trees`` prefix tries; a trie key packs five MinHash values of 12 bits, so sorted
-keys list a trie in order and dropping low bits shortens a prefix. Matching starts at full length
-and shortens prefixes level by level until the expected recall at the threshold reaches the target.
-Classes that share a prefix are candidates; connected candidates form clusters (distributed
-union-find). Within a cluster every pair of classes is verified by the exact Jaccard index of
-whole shingle sets, in blocks of bounded size, so that no pair is ever emitted: a block returns
-link counts and a spanning forest, and a second union-find joins the forests of split clusters.
+signature of ``trees`` prefix tries; a trie key packs four MinHash values of 16 bits, so keys in order
+list a trie, and dropping low bits shortens a prefix. Matching starts at full length: of the classes that are first or last in
+the order of a whole key, each class is verified with the one it shares most trees with. The similarities found so,
+each weighed by how seldom a whole key finds it, estimate how the true pairs are distributed, and prefixes are shortened level by level
+until the recall estimated for that distribution reaches the target: pairs far above the threshold leave prefixes
+long, pairs close to it shorten them. At that depth all classes under a prefix that verified links do not join yet meet, in blocks;
+those whose signatures agree in too few values (four deviations under the threshold's) go, and the rest are verified by
+the exact Jaccard index of whole shingle sets. Only verified links make clusters (distributed
+union-find). Within a cluster every pair of classes is verified, in blocks of bounded size, so that no pair is emitted: a block returns
+link counts.
 
 A text of one to four words is one shingle. Texts without words (null and empty ones too) are
-alone: no links. Classes take the smallest id; ids may repeat, null ids come last.
+alone: no links. Classes take the smallest id; ids may repeat, null ids come last; repeated rows are copies of
+one class; a very long text is a large set like others; an empty table gives no rows; other columns are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,21 +23,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm._arrow import Words, mix, release, slices, spans
-from corvane.llm._spark import components, cut
+from corvane.llm._spark import components, cut, near
 
-LEVELS, BITS = 5, 12
+LEVELS, BITS = 4, 16
 
 
-def depth(threshold: float, trees: int, recall: float) -> int:
-    """The longest prefix at which pairs of the threshold meet in a tree often enough."""
-    for d in range(LEVELS, 1, -1):
-        if 1 - (1 - threshold**d) ** trees >= recall:
-            return d
-    return 1
+def found_at(d: int, trees: int, similarity: float) -> float:
+    """The chance that a pair of such a similarity shares a prefix of d values in some tree."""
+    return 1 - (1 - similarity**d) ** trees
+
+
+def depth(pairs: dict[float, int], threshold: float, trees: int, recall: float) -> tuple[int, float]:
+    """The longest prefix whose estimated recall reaches the target, and that recall.
+
+    pairs counts the verified pairs that whole keys found, by similarity; each stands for as many as whole keys
+    miss beside it. Where none is known, pairs are taken to lie at the threshold.
+    """
+    weight = {s: n / found_at(LEVELS, trees, s) for s, n in pairs.items()} or {threshold: 1.0}
+    total, reached = sum(weight.values()), 0.0
+    for d in range(LEVELS, 0, -1):
+        reached = sum(w * found_at(d, trees, s) for s, w in weight.items()) / total
+        if reached >= recall:
+            return d, reached
+    return 1, reached
 
 
 def shingles(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,6 +76,17 @@ def signatures(h: np.ndarray, first: np.ndarray, trees: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def to_bytes(h: np.ndarray) -> bytes:
+    """Sorted hashes as six bytes each: two sets of n shingles have a false common one by a chance of n * n / 2**48."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def from_bytes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
 
@@ -87,19 +114,50 @@ def verify(sets: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: n
     return common >= threshold * union - 1e-6 * np.maximum(1, union) * 0.1
 
 
-def _local(linked: np.ndarray) -> np.ndarray:
-    """The smallest index in each index's connected component of a symmetric boolean matrix."""
-    label = np.arange(len(linked))
-    while True:
-        low = np.where(linked, label[None, :], len(label)).min(axis=1, initial=len(label))
-        new = np.minimum(label, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
+def _agree(a: str, b: str) -> Column:
+    """In how many of their MinHash values two signatures agree."""
+    same = lambda x, y: sum((F.shiftrightunsigned(x.bitwiseXOR(y), BITS * k).bitwiseAND(F.lit(2**BITS - 1)) == 0).cast("int") for k in range(LEVELS))
+    return F.aggregate(F.zip_with(a, b, same), F.lit(0), lambda s, x: s + x)
 
 
-def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, trees: int = 16, recall: float = 0.9995, block: int = 512) -> DataFrame:
+def _verified(pairs: DataFrame, data: DataFrame, threshold: float) -> DataFrame:
+    """a, b, similarity (exact) of the pairs at the threshold or above."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "da", "db")), strict=True):
+                x, y = from_bytes(x), from_bytes(y)
+                x, y = (x, y) if len(x) <= len(y) else (y, x)
+                common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                union = len(x) + len(y) - common
+                if common >= threshold * union - 1e-7 * union:
+                    out.append((a, b, common / union))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["a", "b", "similarity"])
+        release()
+
+    both = pairs.select("a", "b").join(data.toDF("a", "da"), "a").join(data.toDF("b", "db"), "b")
+    return both.select("a", "b", "da", "db").mapInArrow(run, "a bigint, b bigint, similarity double")
+
+
+def _together(prefix: DataFrame, component: DataFrame, sets: DataFrame, least: float, block: int) -> DataFrame:
+    """a, b: classes under one prefix that are not of one component and whose signatures agree in at least ``least`` values.
+
+    Every two classes under a prefix meet in one cell, that of their two blocks, so a prefix that very many share is dealt over many tasks.
+    """
+    own = prefix.join(component, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    live = own.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("first"), F.max("root").alias("last")).where("first < last").select("key", "n")
+    own = cut(own.join(cut(live), "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))).join(sets.select("node", "keys"), "node")
+    own = own.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int"))
+    named = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("node", "root", "keys")]
+    left = own.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), *named("a"))
+    right = own.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), *named("b"))
+    met = left.join(right, ["key", "i", "j"]).where("(i < j or anode < bnode) and aroot <> broot").where(_agree("akeys", "bkeys") >= least)
+    return met.select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b")).distinct()
+
+
+def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, trees: int = 16, recall: float = 0.9999, block: int = 512) -> DataFrame:
     """One row per document: id, class_id (smallest id of its group), n_links (other documents at the threshold or above), copies (documents of its very shingle set)."""
     keyed = _keyed(docs, doc_id, text)
 
@@ -115,24 +173,56 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
 
     signed = cut(keyed.mapInArrow(sign, "doc_id bigint, text_key bigint, node bigint, n bigint, keys array<bigint>"))
     sets = signed.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("own"), F.count("*").alias("copies"), F.min_by("keys", "text_key").alias("keys"))
-    drop = BITS * (LEVELS - depth(threshold, trees, recall))
-    prefix = sets.select("node", F.posexplode("keys").alias("tree", "key")).select("node", F.xxhash64("tree", F.shiftrightunsigned("key", drop)).alias("key"))
-    least = prefix.groupBy("key").agg(F.min("node").alias("m"), F.count("*").alias("n")).where("n > 1").drop("n")
-    edges = prefix.join(least, "key").where("node <> m").select(F.col("node").alias("u"), F.col("m").alias("v")).distinct()
-    cluster = components(edges)
-    sized = cluster.groupBy("root").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    members = cluster.join(sized, "root").join(sets.select("node", "own.doc_id", "own.text_key", "copies"), "node")
-    members = cut(members.withColumn("at", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
+    sets = cut(sets.select("node", "own.doc_id", "own.text_key", "copies", "keys"))
+    trie = sets.select("node", F.posexplode("keys").alias("tree", "path"))
+    under = lambda d: trie.select("node", "path", F.xxhash64("tree", F.shiftrightunsigned("path", BITS * (LEVELS - d))).alias("key"))
+
+    # Every class that shares a prefix of the shortest length that may be reached with another; only their sets are made.
+    least = depth({}, threshold, trees, recall)[0]
+    shared = cut(under(least).groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key"))
+    wide = cut(under(least).drop("path").join(shared, "key"))
+    some = cut(wide.select("node").distinct())
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             h, first = shingles(Words(b["text"]), width)
-            data = [h[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b[c] for c in ("root", "blocks", "at", "node", "copies")), pa.array(data, pa.binary())], ["root", "blocks", "at", "node", "copies", "data"])
-
-    whole = keyed.alias("d").join(members.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_key") == F.col("m.text_key"))).select("root", "blocks", "at", "node", "copies", "text")
-    whole = whole.mapInArrow(gather, "root bigint, blocks bigint, at int, node bigint, copies bigint, data binary")
-    met = whole.withColumn("with", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))).withColumn("i", F.least("at", "with")).withColumn("j", F.greatest("at", "with")).drop("with")
+            data = [to_bytes(h[x:y]) for x, y in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([b["node"], pa.array(data, pa.binary())], ["node", "data"])
+
+    held = cut(sets.join(some, "node").select("node", "doc_id", "text_key"))
+    data = near(keyed, held, "text_key").alias("d").join(held.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_key") == F.col("m.text_key"))).select("node", "text")
+    # A repeated row stands once.
+    data = cut(data.mapInArrow(gather, "node bigint, data binary").groupBy("node").agg(F.first("data").alias("data")))
+
+    whole = under(LEVELS).join(some, "node", "left_semi")
+    ends = cut(whole.groupBy("key").agg(F.min(F.struct("path", "node")).getField("node").alias("low"), F.max(F.struct("path", "node")).getField("node").alias("high"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    pairs = whole.join(ends, "key").select("node", F.explode(F.array("low", "high")).alias("other")).where("node <> other")
+    pairs = pairs.groupBy(F.greatest("node", "other").alias("b"), F.least("node", "other").alias("a")).agg(F.count("*").alias("trees"))
+    pairs = cut(pairs)
+    first = cut(pairs.groupBy("b").agg(F.max(F.struct("trees", "a")).getField("a").alias("a")))
+    edges = cut(_verified(first, data, threshold))
+    root = cut(components(edges, "a", "b"))
+    rest = pairs.drop("trees").join(first, ["a", "b"], "left_anti")
+    for side in "ab":
+        rest = rest.join(root.toDF(side, f"r{side}"), side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
+    edges = cut(edges.unionByName(_verified(cut(rest.where("ra <> rb").select("a", "b")), data, threshold)))
+    known = {r["s"]: r["n"] for r in edges.groupBy(F.round("similarity", 2).alias("s")).agg(F.count("*").alias("n")).collect()}  # at most 101 rows
+    d, _ = depth(known, threshold, trees, recall)
+    prefix = wide if d == least else under(d).drop("path").join(some, "node", "left_semi")
+    values = trees * LEVELS
+    close = _together(prefix, cut(components(edges, "a", "b")), sets, values * threshold - 4 * (values * threshold * (1 - threshold)) ** 0.5, block)
+    edges = edges.unionByName(_verified(cut(close), data, threshold))
+    cluster = cut(components(edges, "a", "b"))
+
+    sized = cut(cluster.groupBy("root").agg(F.ceil(F.count("*") / block).alias("blocks"), F.count("*").alias("n")))
+    # A cluster of two is one verified link; all pairs of larger ones are compared.
+    two = cluster.join(sized.where("n = 2"), "root").groupBy("root").agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    two = two.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))).alias("p")).select("p.*")
+    two = two.join(sets.select(F.col("node").alias("other"), F.col("copies").alias("links")), "other").select("node", "links")
+    sized = sized.where("n > 2").drop("n")
+    members = cluster.join(sized, "root").join(sets.select("node", "copies"), "node")
+    members = members.withColumn("at", F.pmod(F.xxhash64("node"), "blocks").cast("int")).join(data, "node")
+    met = members.withColumn("with", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))).withColumn("i", F.least("at", "with")).withColumn("j", F.greatest("at", "with")).drop("with")
     met = met.withColumn("meet", F.xxhash64("root", "i", "j")).repartition("meet").sortWithinPartitions("meet", "root", "i", "j")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,27 +230,23 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
         key = None
 
         def close():
-            own = {x[2]: x for x in held}  # a repeated row stands once
-            rows = list(own.values())
-            if not rows:
-                return None
+            rows = held
             nodes = np.array([x[2] for x in rows])
             order = np.argsort(nodes, kind="stable")
             rows, nodes = [rows[i] for i in order], nodes[order]
             at, copies = np.array([x[1] for x in rows]), np.array([x[3] for x in rows])
             _, i, j = key
-            data = [np.frombuffer(x[4], np.uint64) for x in rows]
+            data = [from_bytes(x[4]) for x in rows]
             left, right = (np.arange(len(rows)),) * 2 if i == j else (np.flatnonzero(at == i), np.flatnonzero(at == j))
             linked = np.zeros((len(rows), len(rows)), bool)
             if len(left) and len(right) and len(rows) > 1:
                 linked[np.ix_(left, right)] = verify(data, np.array([len(x) for x in data]), left, right, threshold)
             linked |= linked.T
             np.fill_diagonal(linked, False)
-            links = linked @ copies
-            return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(links.astype(np.int64)), pa.array(nodes[_local(linked)]), pa.array(np.full(len(rows), rows[0][0] > 1))], ["node", "links", "root", "split"])
+            return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array((linked @ copies).astype(np.int64))], ["node", "links"])
 
         for b in batches:
-            cols = [b[c].to_pylist() for c in ("root", "i", "j")] + [b[c].to_pylist() for c in ("blocks", "at", "node", "copies", "data")]
+            cols = [b[c].to_pylist() for c in ("root", "i", "j", "blocks", "at", "node", "copies", "data")]
             for root, i, j, *row in zip(*cols, strict=True):
                 if (root, i, j) != key:
                     if held and (done := close()):
@@ -171,12 +257,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
             yield done
         release()
 
-    found = cut(met.mapInArrow(compare, "node bigint, links bigint, root bigint, split boolean"))
-    joined = components(found.where("split and node <> root"), "node", "root") if found.where("split").limit(1).count() else found.where("false").select("node", "root")
-    label = found.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("local"))
-    label = label.join(joined.withColumnRenamed("root", "wide"), "node", "left").select("node", "links", F.coalesce("wide", "local").alias("root"))
-    named = sets.select("node", "copies", "own.doc_id").join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    found = cut(met.mapInArrow(compare, "node bigint, links bigint").groupBy("node").agg(F.sum("links").alias("links")).unionByName(two))
+    named = sets.select("node", "copies", "doc_id").join(found, "node", "left").join(cluster, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = cut(named.groupBy("root").agg(F.min("doc_id").alias("class_id")))
     named = named.join(first, "root").select("node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies")
     out = signed.select("doc_id", "text_key", "node").join(named, "node", "left")
     out = out.select("doc_id", "text_key", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), F.coalesce("copies", F.lit(1).cast("bigint")).alias("copies"))
