@@ -132,8 +132,31 @@ def test_ngram_join_cases(spark):
     assert kept.columns == d.columns and 3 in [r.doc_id for r in kept.collect()] and 7 not in [r.doc_id for r in kept.collect()]
 
 
-def test_ngram_recall_grows_as_prefixes_shorten():
-    assert ngram.depth(0.8, 16, 0.9995) == 4 and ngram.depth(0.8, 16, 0.9) == 5 and ngram.depth(0.5, 4, 0.9) == 1
+def test_ngram_depth_follows_the_data():
+    """Pairs far above the threshold leave prefixes whole, pairs close to it shorten them."""
+    assert ngram.depth({}, 0.8, 16, 0.9999)[0] == 3 and ngram.depth({}, 0.5, 4, 0.9)[0] == 1
+    assert ngram.depth({1.0: 10, 0.95: 90}, 0.8, 16, 0.9999)[0] == 4
+    assert ngram.depth({0.95: 50, 0.8: 50}, 0.8, 16, 0.9999)[0] == 3
+    assert ngram.depth({0.81: 50}, 0.8, 16, 0.999999)[0] == 2
+
+
+def test_ngram_recall_in_one_template(spark):
+    """Documents of one template are near misses of each other; pairs close to the threshold among them are found."""
+    r = random.Random(11)
+    shared = [f"s{i}" for i in range(60)]
+    texts = []
+    for k in range(150):
+        own = [f"o{k}-{i}" for i in range(14)]
+        for copy in (own, [*own[:-1], f"z{k}"] if k % 2 else [*own[:-1], *own[-1:], "end"]):
+            w = list(shared)
+            for at, x in zip(range(4, 60, 4), copy, strict=False):
+                w.insert(at * 2 % 60, x)
+            texts.append(" ".join([*w, *copy]))
+    want = brute_join(range(len(texts)), texts)
+    got = sorted((x.doc_id, x.class_id, x.n_links) for x in ngram.join(frame(spark, texts), block=64).collect())
+    links, found = sum(n for *_, n in want), sum(n for *_, n in got)
+    print(f"found {found} of {links} links")
+    assert links >= 200 and found >= 0.99 * links
 
 
 # --- 2: packing -------------------------------------------------------------
