@@ -46,8 +46,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return topk.top_k(v, v.where("vec_id % 100 = 0"))
+    v = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", (F.col("vec_id") % 100 == 0).alias("query"))
+    return topk.top_k(v, "query")
 
 
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
