@@ -453,23 +453,52 @@ def test_top_k(spark):
     rows[300] = (300, [0.5] * 6)
     rows[50], rows[51], rows[52], rows[53], rows[54] = (50, None), (51, [None] * 6), (52, [float("nan")] * 6), (53, [float("inf")] + [0.0] * 5), (54, [])
     rows.append((None, [1.0] * 6))
-    d = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("score", F.lit("clash"))
+    d = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("score", F.lit("clash")).selectExpr("*", "vec_id % 100 = 0 as query")
     rows = [(x.vec_id, x.embedding) for x in d.collect()]
     for opts in ({}, {"block": 7, "rows": 40, "group": 2}):
-        got = topk.top_k(d, d.where("vec_id % 100 = 0"), **opts).collect()
+        got = topk.top_k(d, "query", **opts).collect()
         assert sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in got) == brute_top(rows, 10)
-    assert topk.top_k(d.limit(0), d.limit(0)).count() == 0
+    assert topk.top_k(d.limit(0), "query").count() == 0
     few = d.where("vec_id in (0, 1, 2)")
-    assert topk.top_k(few, few.where("vec_id = 0")).count() == 2
+    assert topk.top_k(few, "query").count() == 2
+
+
+def test_top_k_repeated_ids_and_huge_values(spark):
+    """Rows sharing an id are queries and candidates of their own; terms beyond a long are ranked exactly."""
+    rows = [(0, [1.0]), (0, [2.0]), *((i, [float(i)]) for i in range(1, 13))]
+    d = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").selectExpr("*", "vec_id % 100 = 0 as query")
+    got = sorted((x["rank"], x.vec_id, x.score) for x in topk.top_k(d, "query").collect())
+    want = []
+    for own in (0, 1):
+        scored = sorted((-1024 * 1024 * int(rows[own][1][0]) * int(v[0]), i) for k, (i, v) in enumerate(rows) if k != own)
+        want += [(n, i, -s) for n, (s, i) in enumerate(scored[:10], 1)]
+    assert got == sorted(want)
+    huge = spark.createDataFrame([(0, [1e20, 1.0]), (1, [1e20, 0.0]), (2, [1e20, 1.0]), (3, [-1e300, 0.0]), (4, [1.7e308, 0.0]), (5, [0.0, 3.0])], "vec_id bigint, embedding array<double>").selectExpr("*", "vec_id % 100 = 0 as query")
+    got = [(x["rank"], x.vec_id, x.score) for x in topk.top_k(huge, "query").orderBy("rank").collect()]
+    assert [i for _, i, _ in got] == [4, 2, 1, 5, 3] and got[0][2] == 2**63 - 1 and got[-1][2] == -(2**63) and got[3][2] == 3 * 1024 * 1024
+
+
+def test_top_k_meets_few_super_blocks(spark):
+    """On clustered vectors a query visits few super-blocks."""
+    rng = np.random.Generator(np.random.PCG64(5))
+    centres = rng.normal(0, 1, (40, 16))
+    x = centres[rng.integers(0, 40, 8000)] + rng.normal(0, 0.05, (8000, 16))
+    d = spark.createDataFrame([(i, row) for i, row in enumerate(x.tolist())], "vec_id bigint, embedding array<double>").selectExpr("*", "vec_id % 100 = 0 as query")
+    n: list = []
+    got = topk.top_k(d, "query", rows=100, block=20, meetings=n).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute_top(list(enumerate(x.tolist())), 10)
+    print(f"{n[0]} meetings of {n[1]}")
+    assert n[0] < 0.25 * n[1]
 
 
 def test_search_prunes():
     """A block whose bound is under the k-th score is not scored, and large integers stay exact."""
     q, data = np.array([[1, 0]]), np.array([[x, 0] for x in range(1000, 0, -1)])
-    assert topk.search(np.array([-1]), q, np.arange(1000), data, 3, 10) == [(-1, 0, 1000), (-1, 1, 999), (-1, 2, 998)]
+    got, scored = topk.search(np.array([-1]), q, np.arange(1000), np.arange(1000), data, 3, 10)
+    assert got == [(-1, 0, 0, 1000), (-1, 1, 1, 999), (-1, 2, 2, 998)] and scored == 1
     big = 2**40
-    got = topk.search(np.array([9]), np.array([[big]]), np.array([0, 1]), np.array([[big], [big + 1]]), 1, 1)
-    assert got == [(9, 1, big * (big + 1))]
+    got, _ = topk.search(np.array([9]), np.array([[big]]), np.arange(2), np.array([0, 1]), np.array([[big], [big + 1]]), 1, 1)
+    assert got == [(9, 1, 1, big * (big + 1))]
 
 
 # --- 8: substring dedup -----------------------------------------------------
