@@ -2,15 +2,16 @@
 
 Documents are sets of five-word shingles. Documents of one set are one class. Each class has a
 signature of ``trees`` prefix tries; a trie key packs four MinHash values of 16 bits, so keys in order
-list a trie, and dropping low bits shortens a prefix. Matching starts at full length: of the classes that are first or last in
-the order of a whole key, each class is verified with the one it shares most trees with. The similarities found so,
+list a trie, and dropping low bits shortens a prefix. Matching starts at full length: each class meets the classes that are first and
+last in the order of a whole key. The similarities of those pairs, by their signatures and
 each weighed by how seldom a whole key finds it, estimate how the true pairs are distributed, and prefixes are shortened level by level
 until the recall estimated for that distribution reaches the target: pairs far above the threshold leave prefixes
-long, pairs close to it shorten them. At that depth all classes under a prefix that verified links do not join yet meet, in blocks;
-those whose signatures agree in too few values (four deviations under the threshold's) go, and the rest are verified by
-the exact Jaccard index of whole shingle sets. Only verified links make clusters (distributed
-union-find). Within a cluster every pair of classes is verified, in blocks of bounded size, so that no pair is emitted: a block returns
-link counts.
+long, pairs close to it shorten them. At that depth each class meets the first and the last under its prefixes, then all
+classes under a prefix that no likely link joins yet meet, in blocks. A link is likely if the
+signatures agree in no fewer values than four deviations under the threshold's. Classes joined by likely links are a candidate group
+(distributed union-find); in it every pair of classes is verified by the exact Jaccard index of
+whole shingle sets, in blocks of bounded size, so that no pair is emitted: a block returns
+link counts and a spanning forest of verified links, and a second union-find over the forests makes the groups.
 
 A text of one to four words is one shingle. Texts without words (null and empty ones too) are
 alone: no links. Classes take the smallest id; ids may repeat, null ids come last; repeated rows are copies of
@@ -40,7 +41,7 @@ def found_at(d: int, trees: int, similarity: float) -> float:
 def depth(pairs: dict[float, int], threshold: float, trees: int, recall: float) -> tuple[int, float]:
     """The longest prefix whose estimated recall reaches the target, and that recall.
 
-    pairs counts the verified pairs that whole keys found, by similarity; each stands for as many as whole keys
+    pairs counts the pairs that whole keys found, by similarity; each stands for as many as whole keys
     miss beside it. Where none is known, pairs are taken to lie at the threshold.
     """
     weight = {s: n / found_at(LEVELS, trees, s) for s, n in pairs.items()} or {threshold: 1.0}
@@ -114,47 +115,89 @@ def verify(sets: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: n
     return common >= threshold * union - 1e-6 * np.maximum(1, union) * 0.1
 
 
+def _local(linked: np.ndarray) -> np.ndarray:
+    """The smallest index in each index's connected component of a symmetric boolean matrix."""
+    label = np.arange(len(linked))
+    while True:
+        low = np.where(linked, label[None, :], len(label)).min(axis=1, initial=len(label))
+        new = np.minimum(label, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def _agree(a: str, b: str) -> Column:
     """In how many of their MinHash values two signatures agree."""
     same = lambda x, y: sum((F.shiftrightunsigned(x.bitwiseXOR(y), BITS * k).bitwiseAND(F.lit(2**BITS - 1)) == 0).cast("int") for k in range(LEVELS))
     return F.aggregate(F.zip_with(a, b, same), F.lit(0), lambda s, x: s + x)
 
 
-def _verified(pairs: DataFrame, data: DataFrame, threshold: float) -> DataFrame:
-    """a, b, similarity (exact) of the pairs at the threshold or above."""
+def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (a, b) with ``agree``."""
+    for side in "ab":
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("keys").alias(f"k{side}")), side)
+    return pairs.withColumn("agree", _agree("ka", "kb")).drop("ka", "kb")
+
+
+def _star(prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes under a prefix that others share (key, node), and the pairs (a, b) of each with the first and the last of its prefixes."""
+    ends = prefix.groupBy("key").agg(F.min(F.struct("path", "node")).getField("node").alias("low"), F.max(F.struct("path", "node")).getField("node").alias("high"), F.count("*").alias("n")).where("n > 1").drop("n")
+    member = cut(prefix.drop("path").join(cut(ends), "key"))
+    pairs = member.select("node", F.explode(F.array("low", "high")).alias("other")).where("node <> other")
+    return member.select("key", "node"), pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _cells(rows: DataFrame, group: str, cell: list[str], handle, kind: str) -> DataFrame:
+    """handle(rows of a cell, as lists by column) for every cell of two blocks (i, j) of a group, streamed in order of the cells.
+
+    rows has ``blocks`` and ``block``; each row goes to the cells of its block with every block, so a group is dealt over many tasks.
+    """
+    met = rows.withColumn("with", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))).withColumn("i", F.least("block", "with")).withColumn("j", F.greatest("block", "with")).drop("with")
+    met = met.withColumn("meet", F.xxhash64(group, "i", "j")).repartition("meet").sortWithinPartitions("meet", group, "i", "j").select(group, "i", "j", "block", *cell)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "da", "db")), strict=True):
-                x, y = from_bytes(x), from_bytes(y)
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                union = len(x) + len(y) - common
-                if common >= threshold * union - 1e-7 * union:
-                    out.append((a, b, common / union))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["a", "b", "similarity"])
+        held: list[tuple] = []
+        key = None
+        for b in batches:
+            for root, i, j, *row in zip(*(b[c].to_pylist() for c in (group, "i", "j", "block", *cell)), strict=True):
+                if (root, i, j) != key:
+                    if held and (done := handle(held, key[1], key[2])):
+                        yield done
+                    key, held = (root, i, j), []
+                held.append(tuple(row))
+        if held and (done := handle(held, key[1], key[2])):
+            yield done
         release()
 
-    both = pairs.select("a", "b").join(data.toDF("a", "da"), "a").join(data.toDF("b", "db"), "b")
-    return both.select("a", "b", "da", "db").mapInArrow(run, "a bigint, b bigint, similarity double")
+    return met.mapInArrow(run, kind)
+
+
+def _sides(block: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+    return (np.arange(len(block)),) * 2 if i == j else (np.flatnonzero(block == i), np.flatnonzero(block == j))
 
 
 def _together(prefix: DataFrame, component: DataFrame, sets: DataFrame, least: float, block: int) -> DataFrame:
-    """a, b: classes under one prefix that are not of one component and whose signatures agree in at least ``least`` values.
+    """a, b: a forest of likely links between classes under one prefix that are not of one component yet.
 
-    Every two classes under a prefix meet in one cell, that of their two blocks, so a prefix that very many share is dealt over many tasks.
+    Every two classes under a prefix meet in one cell, that of their two blocks; a cell returns a row a class at most.
     """
     own = prefix.join(component, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    live = own.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("first"), F.max("root").alias("last")).where("first < last").select("key", "n")
-    own = cut(own.join(cut(live), "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))).join(sets.select("node", "keys"), "node")
-    own = own.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int"))
-    named = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("node", "root", "keys")]
-    left = own.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), *named("a"))
-    right = own.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), *named("b"))
-    met = left.join(right, ["key", "i", "j"]).where("(i < j or anode < bnode) and aroot <> broot").where(_agree("akeys", "bkeys") >= least)
-    return met.select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b")).distinct()
+    live = own.groupBy("key").agg(F.ceil(F.count("*") / block).alias("blocks"), F.min("root").alias("first"), F.max("root").alias("last")).where("first < last").select("key", "blocks")
+    own = own.join(cut(live), "key").join(sets.select("node", "keys"), "node").withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int"))
+
+    def handle(rows: list[tuple], i: int, j: int) -> pa.RecordBatch | None:
+        nodes, roots = (np.array([r[c] for r in rows]) for c in (1, 2))
+        signs = np.array([r[3] for r in rows]).view(np.uint16).reshape(len(rows), -1)
+        left, right = _sides(np.array([r[0] for r in rows]), i, j)
+        linked = roots[:, None] == roots[None, :]
+        for at in range(0, len(left), 64):
+            linked[np.ix_(left[at : at + 64], right)] |= (signs[left[at : at + 64], None, :] == signs[None, right, :]).sum(2) >= least
+        label = _local(linked | linked.T)
+        new = np.flatnonzero(roots != roots[label])
+        return pa.RecordBatch.from_arrays([pa.array(nodes[new]), pa.array(nodes[label[new]])], ["a", "b"]) if len(new) else None
+
+    return _cells(own, "key", ["node", "root", "keys"], handle, "a bigint, b bigint")
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, trees: int = 16, recall: float = 0.9999, block: int = 512) -> DataFrame:
@@ -177,88 +220,44 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     trie = sets.select("node", F.posexplode("keys").alias("tree", "path"))
     under = lambda d: trie.select("node", "path", F.xxhash64("tree", F.shiftrightunsigned("path", BITS * (LEVELS - d))).alias("key"))
 
-    # Every class that shares a prefix of the shortest length that may be reached with another; only their sets are made.
-    least = depth({}, threshold, trees, recall)[0]
-    shared = cut(under(least).groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key"))
-    wide = cut(under(least).drop("path").join(shared, "key"))
-    some = cut(wide.select("node").distinct())
+    values = trees * LEVELS
+    least = values * threshold - 4 * (values * threshold * (1 - threshold)) ** 0.5
+    _, pairs = _star(under(LEVELS))
+    known = _likely(pairs, sets).groupBy((F.col("agree") / values).alias("s")).agg(F.count("*").alias("n")).where(F.col("s") >= threshold).collect()  # a row for each number of values
+    d, _ = depth({r["s"]: r["n"] for r in known}, threshold, trees, recall)
+    member, pairs = _star(under(d))
+    likely = cut(_likely(pairs, sets).where(F.col("agree") >= least).select("a", "b"))
+    likely = likely.unionByName(_together(member, components(likely, "a", "b"), sets, least, block))
+    cluster = cut(components(likely, "a", "b"))
+    sized = cut(cluster.groupBy("root").agg(F.ceil(F.count("*") / block).alias("blocks")))
+    members = cluster.join(sized, "root").join(sets.select("node", "doc_id", "text_key", "copies"), "node")
+    members = cut(members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             h, first = shingles(Words(b["text"]), width)
             data = [to_bytes(h[x:y]) for x, y in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([b["node"], pa.array(data, pa.binary())], ["node", "data"])
-
-    held = cut(sets.join(some, "node").select("node", "doc_id", "text_key"))
-    data = near(keyed, held, "text_key").alias("d").join(held.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_key") == F.col("m.text_key"))).select("node", "text")
-    # A repeated row stands once.
-    data = cut(data.mapInArrow(gather, "node bigint, data binary").groupBy("node").agg(F.first("data").alias("data")))
-
-    whole = under(LEVELS).join(some, "node", "left_semi")
-    ends = cut(whole.groupBy("key").agg(F.min(F.struct("path", "node")).getField("node").alias("low"), F.max(F.struct("path", "node")).getField("node").alias("high"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    pairs = whole.join(ends, "key").select("node", F.explode(F.array("low", "high")).alias("other")).where("node <> other")
-    pairs = pairs.groupBy(F.greatest("node", "other").alias("b"), F.least("node", "other").alias("a")).agg(F.count("*").alias("trees"))
-    pairs = cut(pairs)
-    first = cut(pairs.groupBy("b").agg(F.max(F.struct("trees", "a")).getField("a").alias("a")))
-    edges = cut(_verified(first, data, threshold))
-    root = cut(components(edges, "a", "b"))
-    rest = pairs.drop("trees").join(first, ["a", "b"], "left_anti")
-    for side in "ab":
-        rest = rest.join(root.toDF(side, f"r{side}"), side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
-    edges = cut(edges.unionByName(_verified(cut(rest.where("ra <> rb").select("a", "b")), data, threshold)))
-    known = {r["s"]: r["n"] for r in edges.groupBy(F.round("similarity", 2).alias("s")).agg(F.count("*").alias("n")).collect()}  # at most 101 rows
-    d, _ = depth(known, threshold, trees, recall)
-    prefix = wide if d == least else under(d).drop("path").join(some, "node", "left_semi")
-    values = trees * LEVELS
-    close = _together(prefix, cut(components(edges, "a", "b")), sets, values * threshold - 4 * (values * threshold * (1 - threshold)) ** 0.5, block)
-    edges = edges.unionByName(_verified(cut(close), data, threshold))
-    cluster = cut(components(edges, "a", "b"))
-
-    sized = cut(cluster.groupBy("root").agg(F.ceil(F.count("*") / block).alias("blocks"), F.count("*").alias("n")))
-    # A cluster of two is one verified link; all pairs of larger ones are compared.
-    two = cluster.join(sized.where("n = 2"), "root").groupBy("root").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    two = two.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))).alias("p")).select("p.*")
-    two = two.join(sets.select(F.col("node").alias("other"), F.col("copies").alias("links")), "other").select("node", "links")
-    sized = sized.where("n > 2").drop("n")
-    members = cluster.join(sized, "root").join(sets.select("node", "copies"), "node")
-    members = members.withColumn("at", F.pmod(F.xxhash64("node"), "blocks").cast("int")).join(data, "node")
-    met = members.withColumn("with", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))).withColumn("i", F.least("at", "with")).withColumn("j", F.greatest("at", "with")).drop("with")
-    met = met.withColumn("meet", F.xxhash64("root", "i", "j")).repartition("meet").sortWithinPartitions("meet", "root", "i", "j")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        key = None
-
-        def close():
-            rows = held
-            nodes = np.array([x[2] for x in rows])
-            order = np.argsort(nodes, kind="stable")
-            rows, nodes = [rows[i] for i in order], nodes[order]
-            at, copies = np.array([x[1] for x in rows]), np.array([x[3] for x in rows])
-            _, i, j = key
-            data = [from_bytes(x[4]) for x in rows]
-            left, right = (np.arange(len(rows)),) * 2 if i == j else (np.flatnonzero(at == i), np.flatnonzero(at == j))
-            linked = np.zeros((len(rows), len(rows)), bool)
-            if len(left) and len(right) and len(rows) > 1:
-                linked[np.ix_(left, right)] = verify(data, np.array([len(x) for x in data]), left, right, threshold)
-            linked |= linked.T
-            np.fill_diagonal(linked, False)
-            return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array((linked @ copies).astype(np.int64))], ["node", "links"])
-
-        for b in batches:
-            cols = [b[c].to_pylist() for c in ("root", "i", "j", "blocks", "at", "node", "copies", "data")]
-            for root, i, j, *row in zip(*cols, strict=True):
-                if (root, i, j) != key:
-                    if held and (done := close()):
-                        yield done
-                    key, held = (root, i, j), []
-                held.append(tuple(row))
-        if held and (done := close()):
-            yield done
-        release()
-
-    found = cut(met.mapInArrow(compare, "node bigint, links bigint").groupBy("node").agg(F.sum("links").alias("links")).unionByName(two))
-    named = sets.select("node", "copies", "doc_id").join(found, "node", "left").join(cluster, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            yield pa.RecordBatch.from_arrays([*(b[c] for c in ("root", "blocks", "block", "node", "copies")), pa.array(data, pa.binary())], ["root", "blocks", "block", "node", "copies", "data"])
+
+    full = near(keyed, members, "text_key").alias("d").join(members.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_key") == F.col("m.text_key"))).select("root", "blocks", "block", "node", "copies", "text")
+    full = full.mapInArrow(gather, "root bigint, blocks bigint, block int, node bigint, copies bigint, data binary")
+
+    def compare(rows: list[tuple], i: int, j: int) -> pa.RecordBatch:
+        rows = sorted({r[1]: r for r in rows}.values(), key=lambda r: r[1])  # a repeated row stands once
+        nodes, copies = (np.array([r[c] for r in rows]) for c in (1, 2))
+        data = [from_bytes(r[3]) for r in rows]
+        left, right = _sides(np.array([r[0] for r in rows]), i, j)
+        linked = np.zeros((len(rows), len(rows)), bool)
+        if len(left) and len(right) and len(rows) > 1:
+            linked[np.ix_(left, right)] = verify(data, np.array([len(x) for x in data]), left, right, threshold)
+        linked |= linked.T
+        np.fill_diagonal(linked, False)
+        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array((linked @ copies).astype(np.int64)), pa.array(nodes[_local(linked)])], ["node", "links", "root"])
+
+    found = cut(_cells(full, "root", ["node", "copies", "data"], compare, "node bigint, links bigint, root bigint"))
+    group = components(found.where("node <> root"), "node", "root")
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    named = sets.select("node", "copies", "doc_id").join(links, "node", "left").join(group, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = cut(named.groupBy("root").agg(F.min("doc_id").alias("class_id")))
     named = named.join(first, "root").select("node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies")
     out = signed.select("doc_id", "text_key", "node").join(named, "node", "left")
