@@ -5,10 +5,10 @@ node's signature comes from one hash of every shingle (of eight characters: shor
 shared by chance by too many lines): the hash picks one of 16 bins and the bin
 keeps its least value. Long lines drop, before the bins, hashes too large to be a bin's least value
 but by a chance of about one in eight (an empty bin is a value too). Eight bands of three bins make
-bucket keys, which finds 98 to 99 in 100 pairs at the threshold and nearly all above 0.85. Of the nodes of its
-buckets' ends each node meets the likest one first, which links most of a group of near copies; then all nodes of a
-bucket meet, in blocks, unless they are of one component already. Pairs whose signatures agree
-in too few bins go, and later those that a parity sketch of both shingle sets proves to be under the threshold; the rest are
+bucket keys, which finds 98 to 99 in 100 pairs at the threshold and nearly all above 0.85. Nodes are compared
+with the least and the greatest node of each of their buckets first, which links most of a group of near copies;
+then all nodes of a bucket meet, in blocks, unless they are of one component already. Pairs whose signatures agree
+in too few bins go, and in the blocks those that a parity sketch of both shingle sets proves to be under the threshold; the rest are
 verified by the exact Jaccard index of their shingle sets, and a distributed union-find over verified pairs makes
 components. The first line of a component (smallest document id, then position) stays; all its other
 lines go.
@@ -103,13 +103,9 @@ def _bands() -> Column:
     return F.array_compact(F.array(*keys))
 
 
-def _same(a: str, b: str) -> Column:
-    return sum(((_bin(j, a) == _bin(j, b)) & (_bin(j, a) != 0)).cast("int") for j in range(BINS))
-
-
 def _alike(a: str, b: str, share: float) -> Column:
     """Whether two signatures agree in at least such a share of the bins that either has filled."""
-    same = _same(a, b)
+    same = sum(((_bin(j, a) == _bin(j, b)) & (_bin(j, a) != 0)).cast("int") for j in range(BINS))
     either = sum(((_bin(j, a) != 0) | (_bin(j, b) != 0)).cast("int") for j in range(BINS))
     return same >= share * either
 
@@ -191,29 +187,28 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     member = cut(near(banded, crowd, "key", bits).join(crowd, "key"))
     pairs = pairs.unionByName(member.select(F.col("k1").alias("x"), F.explode(F.array("low", "high")).alias("y")).where("x <> y"))
     pairs = _signed(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), node)
-    pairs = cut(pairs.where(_alike("a", "b", threshold - 0.35)).select("a", "b", _same("a", "b").alias("same")))
-    first = cut(pairs.groupBy("b").agg(F.max(F.struct("same", "a")).getField("a").alias("a")))
+    pairs = cut(pairs.where(_alike("a", "b", threshold - 0.35)).select("a", "b"))
 
     met = pairs.select(F.explode(F.array("a", "b")).alias("k1")).unionByName(member.select("k1")).withColumn("met", F.lit(True))
     some = node.where("n > 1").select("k1", F.lit(False).alias("met")).unionByName(met).groupBy("k1").agg(F.max("met").alias("met"))
     some = cut(some)
     held = cut(near(lines, some, "k1", bits).join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
     text_of = cut(held.where("met").groupBy("k1").agg(F.min("line").alias("line")))
-    root = lambda df, component, of, to: df.join(component.select(F.col("node").alias(of), F.col("root").alias(to)), of, "left").withColumn(to, F.coalesce(to, of))
-    edges = cut(_verified(first, text_of, width, threshold))
-    component = cut(components(edges, "a", "b"))
-    rest = root(root(pairs.drop("same"), component, "a", "ra"), component, "b", "rb").where("ra <> rb").select("a", "b").join(first, ["a", "b"], "left_anti")
-    edges = cut(edges.unionByName(_verified(rest, text_of, width, threshold)))
-    component = cut(components(edges, "a", "b"))
-    rest = cut(_others(root(member.select("key", "k1"), component, "k1", "root"), node, threshold))
-    edges = edges.unionByName(_verified_sets(rest, text_of, width, threshold))
-    component = cut(components(edges, "a", "b").select(F.col("node").alias("k1"), "root"))
+    component = cut(components(_verified(pairs, text_of, width, threshold), "a", "b").select(F.col("node").alias("k1"), "root"))
+    own = member.select("key", "k1").join(component, "k1", "left").withColumn("root", F.coalesce("root", "k1"))
+    rest = _verified_sets(cut(_others(own, node, threshold)), text_of, width, threshold)
+    for side in "ab":
+        rest = rest.join(component.toDF(side, f"r{side}"), side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
+    joined = cut(components(rest, "ra", "rb")).toDF("root", "least")
+    grown = component.join(joined, "root", "left").select("k1", F.coalesce("least", "root").alias("root"))
+    component = grown.unionByName(joined.toDF("k1", "root").join(component, "k1", "left_anti"))
     fate = held.select("k1", "k2", "doc_id", "pos", "text_key").join(component, "k1", "left")
     fate = fate.withColumn("sub", F.when(F.col("root").isNull(), F.col("k2")).otherwise(0)).withColumn("root", F.coalesce("root", "k1"))
     # Written, so that the join below reads both sides from shuffles and a group with very many lines can be split.
+    fate = cut(fate)
     stays = cut(fate.groupBy("root", "sub").agg(F.min(F.struct("doc_id", "pos", "text_key")).alias("stays")))
     out = fate.join(stays, ["root", "sub"]).where("(doc_id, pos, text_key) <> (stays.doc_id, stays.pos, stays.text_key)")
-    return cut(out.select("doc_id", "text_key", "pos")).groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone"))
+    return out.select("doc_id", "text_key", "pos").groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone"))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 1 << 24, counts: tuple[str, str] = ("n_lines", "n_removed"), **options) -> DataFrame:
