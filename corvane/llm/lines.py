@@ -116,13 +116,11 @@ PARITY = 16
 BLOCK = 512
 
 
-def _sets(text_of: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """k1, set (shingle hashes), size, and p0..p15: for each of 1,024 slots whether an odd number of the shingles falls there."""
-    own = cut(text_of.join(nodes, "k1").select("k1", F.array_distinct(_set("line", width)).alias("set")))
-    h = own.select("k1", F.explode("set").alias("h"))
+def _parities(text_of: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """k1, size and p0..p15: the number of a line's shingles, and for each of 1,024 slots whether an odd number of them falls there."""
+    h = text_of.join(nodes, "k1").select("k1", F.explode(F.array_distinct(_set("line", width))).alias("h"))
     h = h.select("k1", F.pmod("h", F.lit(64 * PARITY)).cast("int").alias("slot")).select("k1", F.floor(F.col("slot") / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot") % 64).alias("bit"))
-    parity = h.groupBy("k1").agg(*(F.coalesce(F.bit_xor(F.when(F.col("word") == j, F.col("bit"))), F.lit(0).cast("bigint")).alias(f"p{j}") for j in range(PARITY)))
-    return cut(own.withColumn("size", F.size("set")).join(parity, "k1"))
+    return h.groupBy("k1").agg(F.count("*").alias("size"), *(F.coalesce(F.bit_xor(F.when(F.col("word") == j, F.col("bit"))), F.lit(0).cast("bigint")).alias(f"p{j}") for j in range(PARITY)))
 
 
 def _may_reach(a: str, b: str, share: float) -> Column:
@@ -160,15 +158,14 @@ def _verified(pairs: DataFrame, text_of: DataFrame, width: int, threshold: float
     return both.where(F.col("common") >= threshold * F.col("all")).select("a", "b")
 
 
-def _verified_sets(pairs: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
-    """_verified for nodes that are in many pairs each: a set is made once, and the sketches of most pairs decide."""
-    sets = _sets(text_of, cut(pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()), width)
+def _sketched(pairs: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
+    """_verified for nodes that are in many pairs each: the sketches of most pairs decide; the set of b is made once a node."""
+    parity = cut(_parities(text_of, cut(pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()), width))
     for side in "ab":
-        pairs = pairs.join(sets.drop("set").select(*(F.col(c).alias(side if c == "k1" else f"{side}{c}") for c in sets.drop("set").columns)), side)
-    pairs = cut(pairs.where(_may_reach("a", "b", threshold)).select("a", "b"))
-    for side in "ab":
-        pairs = pairs.join(sets.select(F.col("k1").alias(side), F.col("set").alias(f"s{side}")), side)
-    both = pairs.select("a", "b", (F.size("sa") + F.size("sb")).alias("sum"), F.size(F.array_union("sa", "sb")).alias("all"))
+        pairs = pairs.join(parity.select(*(F.col(c).alias(side if c == "k1" else f"{side}{c}") for c in parity.columns)), side)
+    pairs = cut(pairs.where(_may_reach("a", "b", threshold)).select("a", "b", (F.col("asize") + F.col("bsize")).alias("sum")))
+    sets = text_of.join(cut(pairs.select(F.col("b").alias("k1")).distinct()), "k1").select(F.col("k1").alias("b"), _set("line", width).alias("sb"))
+    both = pairs.join(text_of.toDF("a", "la"), "a").join(sets, "b").select("a", "b", "sum", F.size(F.array_union(_set("la", width), F.col("sb"))).alias("all"))
     return both.where(F.col("sum") - F.col("all") >= threshold * F.col("all")).select("a", "b")
 
 
@@ -177,12 +174,10 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     lines = _lines(docs, doc_id, text)
     node = cut(signatures(lines, sketch_width))
     banded = node.select("k1", F.explode(_bands()).alias("key"))
-    bucket = cut(banded.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high"), F.count("*").alias("n"), F.bit_xor("k1").alias("mixed")).where("low < high"))
-    # Of two or three nodes the ends and the exclusive or of all say which they are; only larger buckets are dealt again.
-    third = F.when(F.col("n") == 3, F.col("mixed").bitwiseXOR(F.col("low")).bitwiseXOR(F.col("high")))
-    small = bucket.where("n <= 3").select("low", "high", third.alias("third"))
-    pairs = small.select(F.explode(F.array(F.array("low", "high"), F.array("low", "third"), F.array("high", "third"))).alias("p")).select(F.col("p")[0].alias("x"), F.col("p")[1].alias("y")).where("y is not null")
-    crowd = bucket.where("n > 3").select("key", "low", "high")
+    bucket = cut(banded.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high"), F.count("*").alias("n")).where("low < high"))
+    # Of two nodes the ends say which they are; only larger buckets are dealt again.
+    pairs = bucket.where("n = 2").select(F.col("low").alias("x"), F.col("high").alias("y"))
+    crowd = bucket.where("n > 2").select("key", "low", "high")
     # A bitmap of fixed size, whatever the input, keeps most rows that no join will want out of the shuffle.
     member = cut(near(banded, crowd, "key", bits).join(crowd, "key"))
     pairs = pairs.unionByName(member.select(F.col("k1").alias("x"), F.explode(F.array("low", "high")).alias("y")).where("x <> y"))
@@ -192,11 +187,13 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     met = pairs.select(F.explode(F.array("a", "b")).alias("k1")).unionByName(member.select("k1")).withColumn("met", F.lit(True))
     some = node.where("n > 1").select("k1", F.lit(False).alias("met")).unionByName(met).groupBy("k1").agg(F.max("met").alias("met"))
     some = cut(some)
-    held = cut(near(lines, some, "k1", bits).join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
+    # Texts travel only with lines that may be met.
+    wanted = near(lines, some, "k1", bits).join(F.broadcast(bitmap(some.where("met"), "k1", bits)), F.lit(True)).withColumn("line", F.when(may_hold(F.col("k1"), bits), F.col("line"))).drop("__bitmap")
+    held = cut(wanted.join(some, "k1").select("k1", "k2", "doc_id", "pos", "text_key", F.when(F.col("met"), F.col("line")).alias("line"), "met"))
     text_of = cut(held.where("met").groupBy("k1").agg(F.min("line").alias("line")))
     component = cut(components(_verified(pairs, text_of, width, threshold), "a", "b").select(F.col("node").alias("k1"), "root"))
     own = member.select("key", "k1").join(component, "k1", "left").withColumn("root", F.coalesce("root", "k1"))
-    rest = _verified_sets(cut(_others(own, node, threshold)), text_of, width, threshold)
+    rest = _sketched(cut(_others(own, node, threshold)), text_of, width, threshold)
     for side in "ab":
         rest = rest.join(component.toDF(side, f"r{side}"), side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
     joined = cut(components(rest, "ra", "rb")).toDF("root", "least")
@@ -205,7 +202,6 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     fate = held.select("k1", "k2", "doc_id", "pos", "text_key").join(component, "k1", "left")
     fate = fate.withColumn("sub", F.when(F.col("root").isNull(), F.col("k2")).otherwise(0)).withColumn("root", F.coalesce("root", "k1"))
     # Written, so that the join below reads both sides from shuffles and a group with very many lines can be split.
-    fate = cut(fate)
     stays = cut(fate.groupBy("root", "sub").agg(F.min(F.struct("doc_id", "pos", "text_key")).alias("stays")))
     out = fate.join(stays, ["root", "sub"]).where("(doc_id, pos, text_key) <> (stays.doc_id, stays.pos, stays.text_key)")
     return out.select("doc_id", "text_key", "pos").groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone"))
