@@ -218,17 +218,28 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
 
 
+#: Languages counted in words.
+SPACED = ("ar", "en", "hi", "ml")
+
+
 def unit_count(text: Column, lang: Column) -> Column:
-    """Words, or for Chinese Han characters (characters if there are none)."""
+    """Words in languages that space them; in others Han characters, or all characters if there are none."""
     han = count(text, f"[{HAN}]")
-    return F.when(lang == "zh", F.when(han > 0, han).otherwise(F.length(text))).otherwise(F.size(words(text))).cast("bigint")
+    spaced = F.coalesce(lang.isin(*SPACED), F.lit(False))
+    return F.when(spaced, F.size(words(text))).otherwise(F.when(han > 0, han).otherwise(F.length(text))).cast("bigint")
+
+
+def folded(text: Column) -> Column:
+    """Case folded: lower case of the upper case, final sigma as sigma."""
+    return F.translate(F.lower(F.upper(text)), "\u03c2", "\u03c3")
 
 
 def content_units(text: Column, lang: Column) -> Column:
-    """Lower-cased words with a letter or digit, or Han characters where Chinese text has any."""
-    own = F.filter(words(F.lower(text)), lambda w: F.regexp_like(w, F.lit(r"[\p{L}\p{N}]")))
+    """Case-folded words with a letter or digit; in languages that do not space words, Han characters where there are any."""
+    own = F.filter(words(folded(text)), lambda w: F.regexp_like(w, F.lit(r"[\p{L}\p{N}]")))
     han = F.regexp_extract_all(text, F.lit(f"([{HAN}])"), F.lit(1))
-    return F.when((lang == "zh") & (F.size(han) > 0), han).otherwise(own)
+    spaced = F.coalesce(lang.isin(*SPACED), F.lit(False))
+    return F.when(~spaced & (F.size(han) > 0), han).otherwise(own)
 
 
 def richness(text: Column, lang: Column, full_units: int = 24, full_chars: int = 24) -> Column:

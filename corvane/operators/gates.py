@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from corvane.functions import text as t
 
 # Patterns of unrecoverable contamination and speech-rate bands in units a second.
-NOISE = r"(?i)\[(?:noise|music|laughter|applause|silence|inaudible|crosstalk)\]"
-URL = r"(?i)https?://|www\."
-SPEAKER = r"(?im)^\s*speaker\s*\d+\s*:"
-TIMESTAMP = r"\b\d{1,2}:\d{2}:\d{2}\b"
+NOISE = r"\[[^\]\n]{1,40}\]"
+URL = r"(?iuU)(?:https?://|www\.)\S+"
+SPEAKER = r"(?iuU)(?:^|\s)(?:SPEAKER|SPK|MALE|FEMALE|M|F)\s*[:#]?\s*\d*\s*[:|]"
+TIMESTAMP = r"(?U)\b\d{1,2}:\d{2}:\d{2}\b"
 RATES = {"ar": (0.4, 7.0), "en": (0.4, 7.0), "hi": (0.4, 7.0), "ml": (0.4, 7.0), "zh": (0.8, 12.0)}
 
 

@@ -49,4 +49,4 @@ def diversity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The query modules register themselves.
-from corvane.plans import documents, more, tables  # noqa: E402, F401
+from corvane.plans import documents, more, rows, tables  # noqa: E402, F401

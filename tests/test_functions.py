@@ -124,7 +124,7 @@ def test_error_counts(spark):
 
 def test_merge():
     assert unicode._merge("a b c d", "c d e") == "a b c d e"
-    assert unicode._merge("one", "two") == "one two"
+    assert unicode._merge("one", "two") == "two" and unicode._merge("one two", "three four") == "three four"
 
 
 def test_numeric(spark):
@@ -149,3 +149,31 @@ def test_rules(spark):
     assert values(d, rules.slot(F.lit(None).cast("int"), F.col("x"))) == [False, True, False]
     assert values(d, rules.route(F.array(F.lit("pay"), F.lit("bill")), {"money": ["pay", "bill"], "other2": ["pay"]})) == ["money"] * 3
     assert values(d, rules.compare(F.lit(1), F.lit(1000), "==", F.lit(1000), F.lit(1))) == ["true"] * 3
+
+
+def test_merge_of_rolling_windows(spark):
+    """Against a plain restatement: the longest common run that begins the new text, anywhere in the old one."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from corvane.functions import unicode
+
+    r = random.Random(3)
+    cases = [("a b c d", "b c x", "a b c x"), ("a b c d", "x y", "x y"), ("", "a", "a"), ("a b", "", "a b"), ("Hello, World again", "hello world now", "hello world now"), ("abcdef", "cdefg", "abcdefg"), ("abcdef", "xyz", "xyz"), ("a b", "b c", "b c")]
+    for _ in range(300):
+        a, b = (" ".join(r.choice("ab c d".split()) for _ in range(r.randrange(1, 8))) for _ in range(2))
+        x, y = a.split(), b.split()
+        spaced = " " in a + b
+        if spaced:
+            runs = []
+            for at in range(len(x)):
+                n = 0
+                while n < min(len(x) - at, len(y)) and x[at + n] == y[n]:
+                    n += 1
+                runs.append((n, -at))
+            best = max(runs)
+            want = " ".join(x[: -best[1]] + y) if best[0] >= 2 else b
+            cases.append((a, b, want))
+    got = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a string, b string").select("i", unicode.merge_transcripts(F.col("a"), F.col("b")).alias("m")).collect()
+    assert {x.i: x.m for x in got} == {i: w for i, (*_, w) in enumerate(cases)}
