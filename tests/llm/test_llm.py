@@ -162,8 +162,13 @@ def test_ngram_recall_in_one_template(spark):
 # --- 2: packing -------------------------------------------------------------
 
 
-def test_chunked_tokens_equal_the_tokenizer():
-    """Cutting before white space changes no id: every character between others, every kind of space, added tokens."""
+def test_merging_by_rank_is_merging_by_the_list():
+    """Over the vocabulary's whole merge table."""
+    assert packing.same_merges(queries.vocabulary()) == []
+
+
+def test_tokens_equal_the_tokenizer():
+    """Both ways of encoding: every character between others, every kind of space, added tokens."""
     from tokenizers import Tokenizer
 
     path = queries.vocabulary()
@@ -172,6 +177,7 @@ def test_chunked_tokens_equal_the_tokenizer():
     r = random.Random(1)
     special = [" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x0c", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u180e", "\u2003", "\u2028", "\u202f", "\u3000", "\u200b", "'s", "'LL", "1", "a", "é", "語", "क्", "!", "\U0001f600", "<|endoftext|>"]
     texts = ["", "<|endoftext|> x", "end <|endoftext|> next", "don't I'll", "e\u0301 \u0301", *("".join(r.choice(special) for _ in range(r.randrange(1, 30))) for _ in range(3000))]
+    texts += ["".join(map(chr, range(packing.LATIN + 1))), *("".join(chr(r.randrange(packing.LATIN + 1)) for _ in range(300)) for _ in range(500))]
     texts += [f"a{c} {c}b  {c}\n{c}" for c in map(chr, [*range(0xD800), *range(0xE000, 0x10000, 7), *range(0x10000, 0x110000, 997)])]
     for t, want in zip(texts, full.encode_batch(texts, add_special_tokens=False), strict=True):
         assert encode(t) == want.ids, ascii(t)
