@@ -128,7 +128,7 @@ class Mix:
         d = cut(d)
         total = d.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("docs")).collect()  # one row a source
         rows = sorted(((x["source"], x["n"]) for x in total), key=lambda x: (x[0] is None, x[0] or ""))
-        chunk = F.pmod("place", F.lit(max(1, sum(x["docs"] for x in total) // 20_000)))
+        chunk = F.pmod("place", F.lit(max(1, sum(x["docs"] for x in total) // 1_000)))
         sizes = [n for _, n in rows]
         goal = targets(sizes, [weights[i % len(weights)] for i in range(len(rows))], share * sum(sizes), most)
         streams = [Stream(i, n, min(round(t), int(most * n)), block, seed) for i, (n, t) in enumerate(zip(sizes, goal, strict=True))]
