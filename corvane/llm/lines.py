@@ -136,18 +136,20 @@ def _signed(pairs: DataFrame, node: DataFrame) -> DataFrame:
     return pairs
 
 
-def _others(member: DataFrame, node: DataFrame, threshold: float) -> DataFrame:
-    """a, b: the pairs of a bucket's nodes that are not of one component (``root`` of member) and whose signatures are alike.
+def _others(member: DataFrame, node: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
+    """a, b: the pairs of a bucket's nodes that are not of one component (``root`` of member) and that signatures and sketches leave.
 
     Every two nodes of a bucket meet in one cell, that of their two blocks, so a large bucket is dealt over many tasks.
     """
     live = member.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("first"), F.max("root").alias("last")).where("first < last").select("key", "n")
-    own = member.select("key", "k1", "root").join(cut(live), "key").join(node.drop("n"), "k1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    own = cut(member.select("key", "k1", "root").join(cut(live), "key"))
+    known = _parities(text_of, own.select("k1").distinct(), width).join(node.drop("n"), "k1")
+    own = own.join(known, "k1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     own = cut(own.withColumn("block", F.pmod(F.xxhash64(F.lit(11), "k1"), F.col("blocks")).cast("int")).drop("n"))
-    named = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("k1", "root", *node.drop("k1", "n").columns)]
+    named = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("k1", "root", *known.drop("k1").columns)]
     left = own.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), *named("a"))
     right = own.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), *named("b"))
-    met = left.join(right, ["key", "i", "j"]).where("(i < j or ak1 < bk1) and aroot <> broot").where(_alike("a", "b", threshold - 0.35))
+    met = left.join(right, ["key", "i", "j"]).where("(i < j or ak1 < bk1) and aroot <> broot").where(_alike("a", "b", threshold - 0.35) & _may_reach("a", "b", threshold))
     return met.select(F.least("ak1", "bk1").alias("a"), F.greatest("ak1", "bk1").alias("b")).distinct()
 
 
@@ -158,17 +160,6 @@ def _verified(pairs: DataFrame, text_of: DataFrame, width: int, threshold: float
     return both.where(F.col("common") >= threshold * F.col("all")).select("a", "b")
 
 
-def _sketched(pairs: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
-    """_verified for nodes that are in many pairs each: the sketches of most pairs decide; the set of b is made once a node."""
-    parity = cut(_parities(text_of, cut(pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()), width))
-    for side in "ab":
-        pairs = pairs.join(parity.select(*(F.col(c).alias(side if c == "k1" else f"{side}{c}") for c in parity.columns)), side)
-    pairs = cut(pairs.where(_may_reach("a", "b", threshold)).select("a", "b", (F.col("asize") + F.col("bsize")).alias("sum")))
-    sets = text_of.join(cut(pairs.select(F.col("b").alias("k1")).distinct()), "k1").select(F.col("k1").alias("b"), _set("line", width).alias("sb"))
-    both = pairs.join(text_of.toDF("a", "la"), "a").join(sets, "b").select("a", "b", "sum", F.size(F.array_union(_set("la", width), F.col("sb"))).alias("all"))
-    return both.where(F.col("sum") - F.col("all") >= threshold * F.col("all")).select("a", "b")
-
-
 def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 6, threshold: float = 0.8, sketch_width: int = 8, bits: int = 1 << 24) -> DataFrame:
     """doc_id, text_key and the positions (``gone``) of the lines that go, for each document that loses any."""
     lines = _lines(docs, doc_id, text)
@@ -193,7 +184,7 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     text_of = cut(held.where("met").groupBy("k1").agg(F.min("line").alias("line")))
     component = cut(components(_verified(pairs, text_of, width, threshold), "a", "b").select(F.col("node").alias("k1"), "root"))
     own = member.select("key", "k1").join(component, "k1", "left").withColumn("root", F.coalesce("root", "k1"))
-    rest = _sketched(cut(_others(own, node, threshold)), text_of, width, threshold)
+    rest = _verified(cut(_others(own, node, text_of, width, threshold)), text_of, width, threshold)
     for side in "ab":
         rest = rest.join(component.toDF(side, f"r{side}"), side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
     joined = cut(components(rest, "ra", "rb")).toDF("root", "least")
