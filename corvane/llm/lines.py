@@ -137,19 +137,22 @@ def _signed(pairs: DataFrame, node: DataFrame) -> DataFrame:
 
 
 def _others(member: DataFrame, node: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
-    """a, b: the pairs of a bucket's nodes that are not of one component (``root`` of member) and that signatures and sketches leave.
+    """a, b: the near pairs of a bucket's nodes that are not of one component (``root`` of member) yet.
 
-    Every two nodes of a bucket meet in one cell, that of their two blocks, so a large bucket is dealt over many tasks.
+    Every two nodes of a bucket meet in one cell, that of their two blocks, so a large bucket is dealt over many tasks. Signatures,
+    then sketches, then the exact Jaccard index decide where two nodes meet: only near pairs leave.
     """
     live = member.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("first"), F.max("root").alias("last")).where("first < last").select("key", "n")
     own = cut(member.select("key", "k1", "root").join(cut(live), "key"))
     known = _parities(text_of, own.select("k1").distinct(), width).join(node.drop("n"), "k1")
     own = own.join(known, "k1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     own = cut(own.withColumn("block", F.pmod(F.xxhash64(F.lit(11), "k1"), F.col("blocks")).cast("int")).drop("n"))
-    named = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("k1", "root", *known.drop("k1").columns)]
+    own = own.join(text_of, "k1")
+    named = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("k1", "root", "line", *known.drop("k1").columns)]
     left = own.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), *named("a"))
     right = own.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), *named("b"))
-    met = left.join(right, ["key", "i", "j"]).where("(i < j or ak1 < bk1) and aroot <> broot").where(_alike("a", "b", threshold - 0.35) & _may_reach("a", "b", threshold))
+    exact = F.col("asize") + F.col("bsize") >= (1 + threshold) * F.size(F.array_union(_set("aline", width), _set("bline", width)))
+    met = left.join(right, ["key", "i", "j"]).where("(i < j or ak1 < bk1) and aroot <> broot").where(_alike("a", "b", threshold - 0.35) & _may_reach("a", "b", threshold) & exact)
     return met.select(F.least("ak1", "bk1").alias("a"), F.greatest("ak1", "bk1").alias("b")).distinct()
 
 
@@ -184,7 +187,7 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     text_of = cut(held.where("met").groupBy("k1").agg(F.min("line").alias("line")))
     component = cut(components(_verified(pairs, text_of, width, threshold), "a", "b").select(F.col("node").alias("k1"), "root"))
     own = member.select("key", "k1").join(component, "k1", "left").withColumn("root", F.coalesce("root", "k1"))
-    rest = _verified(cut(_others(own, node, text_of, width, threshold)), text_of, width, threshold)
+    rest = cut(_others(own, node, text_of, width, threshold))
     for side in "ab":
         rest = rest.join(component.toDF(side, f"r{side}"), side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
     joined = cut(components(rest, "ra", "rb")).toDF("root", "least")
