@@ -46,9 +46,16 @@ def _last_start(width: int) -> Column:
     return F.greatest(F.floor(F.octet_length("code") / 2).cast("int") - width, F.lit(0))
 
 
+#: Characters up to which a line's shingles are taken by substrings.
+SHORT = 256
+
+
 def _set(line: str, width: int) -> Column:
-    """The shingle hashes of a line; a lookahead lists overlapping shingles without counting from the start."""
-    return F.expr(f"transform(if(length({line}) <= {width}, array({line}), regexp_extract_all({line}, '(?s)(?=(.{{{width}}}))', 1)), x -> xxhash64(x))")
+    """The shingle hashes of a line. Substrings count from the start, which costs least in short lines; in others a lookahead lists the shingles."""
+    short = f"transform(sequence(1, length({line}) - {width - 1}), i -> substring({line}, i, {width}))"
+    # A search goes on by UTF-16 units, so places within a character are passed over.
+    long = rf"regexp_extract_all({line}, '(?s)(?![\\x{{DC00}}-\\x{{DFFF}}])(?=(.{{{width}}}))', 1)"
+    return F.expr(f"transform(case when length({line}) <= {width} then array({line}) when length({line}) <= {SHORT} then {short} else {long} end, x -> xxhash64(x))")
 
 
 def _key(text: Column) -> Column:
@@ -64,12 +71,13 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 BINS = 16
 #: Eight triples of bins; no two share more than one bin.
 BANDS = [(0, 1, 2), (3, 4, 5), (6, 7, 8), (9, 10, 11), (12, 13, 14), (0, 5, 15), (3, 8, 13), (1, 6, 11)]
-#: Bits a bin keeps of its least value; 0 is an empty bin.
-BITS = 16
+#: Bits a bin keeps of its least value; 0 is an empty bin. Four bins make a long, each with a free bit above it.
+BITS = 14
+PITCH = BITS + 1
 
 
 def signatures(lines: DataFrame, width: int) -> DataFrame:
-    """k1, n (lines) and q0..q3, sixteen bins of 16 bits each, of each distinct line: one row a shingle, reduced at once to one row a line."""
+    """k1, n (lines) and q0..q3, sixteen bins of 14 bits each, of each distinct line: one row a shingle, reduced at once to one row a line."""
     s = lines.select("k1", _code(F.col("line")).alias("code"))
     s = s.select("k1", "code", F.explode(F.sequence(F.lit(0), _last_start(width))).alias("i"))
     h = F.xxhash64(F.substring("code", F.col("i") * 2 + 1, F.lit(2 * width)))
@@ -78,13 +86,13 @@ def signatures(lines: DataFrame, width: int) -> DataFrame:
     s = s.where("low or i = 0").withColumn("bin", F.when(F.col("low"), F.col("bin")).otherwise(-1))
     s = s.groupBy("k1").agg(F.sum(F.when(F.col("i") == 0, 1).otherwise(0)).alias("n"), *(F.min(F.when(F.col("bin") == j, F.col("value"))).alias(f"b{j}") for j in range(BINS)))
     # Low bits of a least value are as good as random; the high ones are small for every line.
-    part = lambda j: F.shiftleft(F.coalesce(F.col(f"b{j}") % (2**BITS - 1) + 1, F.lit(0)).cast("bigint"), BITS * (j % 4))
+    part = lambda j: F.shiftleft(F.coalesce(F.col(f"b{j}") % (2**BITS - 1) + 1, F.lit(0)).cast("bigint"), PITCH * (j % 4))
     quads = [part(j).bitwiseOR(part(j + 1)).bitwiseOR(part(j + 2)).bitwiseOR(part(j + 3)).alias(f"q{j // 4}") for j in range(0, BINS, 4)]
     return s.select("k1", "n", *quads)
 
 
 def _bin(j: int, of: str = "") -> Column:
-    return F.shiftrightunsigned(F.col(f"{of}q{j // 4}"), BITS * (j % 4)).bitwiseAND(F.lit(2**BITS - 1))
+    return F.shiftrightunsigned(F.col(f"{of}q{j // 4}"), PITCH * (j % 4)).bitwiseAND(F.lit(2**BITS - 1))
 
 
 def _bands() -> Column:
@@ -103,11 +111,17 @@ def _bands() -> Column:
     return F.array_compact(F.array(*keys))
 
 
+def _filled(quad: Column) -> Column:
+    """How many of four bins are not 0: adding the greatest value carries into the free bit of just those."""
+    every = sum(1 << PITCH * j for j in range(4))
+    return F.bit_count((quad + F.lit(every * (2**BITS - 1))).bitwiseAND(F.lit(every << BITS)))
+
+
 def _alike(a: str, b: str, share: float) -> Column:
     """Whether two signatures agree in at least such a share of the bins that either has filled."""
-    same = sum(((_bin(j, a) == _bin(j, b)) & (_bin(j, a) != 0)).cast("int") for j in range(BINS))
-    either = sum(((_bin(j, a) != 0) | (_bin(j, b) != 0)).cast("int") for j in range(BINS))
-    return same >= share * either
+    quads = [(F.col(f"{a}q{i}"), F.col(f"{b}q{i}")) for i in range(BINS // 4)]
+    unlike, either = sum(_filled(x.bitwiseXOR(y)) for x, y in quads), sum(_filled(x.bitwiseOR(y)) for x, y in quads)
+    return unlike <= F.lit(1 - share + 1e-9) * either
 
 
 #: Words of 64 bits of a parity sketch.
@@ -124,9 +138,12 @@ def _parities(text_of: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 
 
 def _may_reach(a: str, b: str, share: float) -> Column:
-    """False only if the Jaccard index is under ``share``: slots of unlike parity are no more than shingles that one set alone has."""
-    both, apart = F.col(f"{a}size") + F.col(f"{b}size"), sum(F.bit_count(F.col(f"{a}p{j}").bitwiseXOR(F.col(f"{b}p{j}"))) for j in range(PARITY))
-    return both - apart >= share * (both + apart)
+    """False only if the Jaccard index is under ``share``: sets too unlike in size, or more slots of unlike parity than shingles
+    that one set alone may have. Written with each sketch word once, for the condition is compiled as one method."""
+    x, y = F.col(f"{a}size"), F.col(f"{b}size")
+    apart = sum(F.bit_count(F.col(f"{a}p{j}").bitwiseXOR(F.col(f"{b}p{j}"))) for j in range(PARITY))
+    sizes = (x >= F.lit(share - 1e-9) * y) & (y >= F.lit(share - 1e-9) * x)
+    return sizes & (F.lit(1 + share) * apart <= F.lit(1 - share) * (x + y) + 1e-6)
 
 
 def _signed(pairs: DataFrame, node: DataFrame) -> DataFrame:
