@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from corvane.llm._arrow import Words, arrays, mix, slices, spans
+from corvane.llm._arrow import Words, arrays, mix, release, slices, spans
 from corvane.llm._spark import sample
 
 _CLASS = np.full(256, 15, np.int64)
@@ -104,7 +105,7 @@ class Net:
 
     def __init__(self, x: np.ndarray, hidden: int, seed: int):
         rng = np.random.Generator(np.random.PCG64(seed))
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
+        self.mean, self.scale = x.mean(0, dtype=float), x.std(0, dtype=float) + 1e-3
         self.scale[SURFACE:] /= HASHED
         d = x.shape[1]
         self.w = [rng.normal(0, d**-0.5, (d, hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), np.zeros(1)]
@@ -188,6 +189,20 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b["positive"], arrays(x.ravel(), np.arange(len(x) + 1) * x.shape[1])], ["positive", "x"])
 
 
+def _gathered(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The features of positive and of unlabelled rows, as they came over Arrow: four bytes each, for the driver's memory is small.
+
+    Rows come in any order; a fixed order makes the fit the same each time.
+    """
+    got = rows.toArrow().combine_chunks()
+    if not got.num_rows:
+        return np.zeros((0, 0), np.float32), np.zeros((0, 0), np.float32)
+    x = pc.list_flatten(got["x"]).to_numpy().reshape(got.num_rows, -1)
+    positive = got["positive"].to_numpy()
+    p, u = (x[np.flatnonzero(positive == flag)] for flag in (True, False))
+    return tuple(y[np.lexsort(y.T[::-1])] if len(y) else y for y in (p, u))
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", positives: int = 6000, unlabelled: int = 8000) -> Net | None:
     """The network trained on a bounded sample of docs; None without positives or texts."""
     learn = ~held_out(F.col(doc_id))
@@ -196,13 +211,13 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # Both samples are bounded by the two parameters, so they may be broadcast; one text an id bounds what is gathered.
     texts = docs.select(doc_id, F.col(text).cast("string").alias("text")).join(F.broadcast(good.unionByName(any_)), doc_id)
     texts = texts.groupBy(doc_id, "positive").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("positive", "text")
-    rows = texts.mapInArrow(_features, "positive boolean, x array<float>").toPandas()
-    p, u = (np.array([*rows["x"][rows["positive"] == flag]], float) for flag in (True, False))
+    p, u = _gathered(texts.mapInArrow(_features, "positive boolean, x array<float>"))
     if not len(p) or not len(u):
         return None
-    # Rows come in any order; a fixed order makes the fit the same each time.
-    p, u = (x[np.lexsort(x.T[::-1])] for x in (p, u))
-    return train(p, u, class_prior(p[:, :SURFACE], u[:, :SURFACE]))
+    net = train(p, u, class_prior(p[:, :SURFACE], u[:, :SURFACE]))
+    del p, u
+    release()
+    return net
 
 
 def score(docs: DataFrame, net: Net | None, text: str = "text", name: str = "score") -> DataFrame:

@@ -766,3 +766,32 @@ def test_pipeline_cases(spark, tmp_path):
         assert stage.count() > 0 and all(r[c] == 1 for r in stage.collect() for c in clash), corpus_pipeline.STAGES[k][0]
     kept = [r.doc_id for r in spark.read.parquet(str(tmp_path / "2-all")).collect()]
     assert kept.count(1) == 1 and 5 not in kept and None in kept and 4 in kept
+
+
+def test_cut_leaves_no_shuffle_files(spark):
+    """What a plan shuffled goes when it has been written, not when the driver happens to collect its garbage."""
+    from pathlib import Path
+
+    from corvane.llm._spark import cut
+
+    tops = [str(x) for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for top in tops for f in Path(top).rglob("shuffle_*")}
+    before = files()
+    own = cut(spark.range(10_000).selectExpr("id % 1000 as k", "id").groupBy("k").agg(F.max("id").alias("m")).repartition(4, "m"))
+    assert files() <= before
+    assert own.count() == 1000 and own.agg(F.min("m")).first()[0] == 9000
+
+
+def test_quality_gathers_features_in_four_bytes(spark):
+    """The driver holds two copies of the features and an order of them, not lists and eight bytes a value."""
+    import tracemalloc
+
+    x = F.transform(F.sequence(F.lit(1), F.lit(249)), lambda j: (F.xxhash64("id", j) % 1000).cast("float"))
+    rows = spark.range(8000).select((F.col("id") % 4 == 0).alias("positive"), x.alias("x"))
+    tracemalloc.start()
+    p, u = quality._gathered(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert p.shape == (2000, 249) and u.shape == (6000, 249) and p.dtype == u.dtype == np.float32
+    assert (np.diff(u[:, 0]) >= 0).all() and peak < 3 * 4 * 8000 * 249, peak
+    assert [len(y) for y in quality._gathered(rows.limit(0))] == [0, 0]
