@@ -51,11 +51,15 @@ SHORT = 256
 
 
 def _set(line: str, width: int) -> Column:
-    """The shingle hashes of a line. Substrings count from the start, which costs least in short lines; in others a lookahead lists the shingles."""
+    """The shingle hashes of a line, of two bytes a UTF-16 unit. Where each character is one unit, shingles are byte ranges, found without counting.
+    In other lines, substrings count from the start, which costs least in short ones; in long ones a lookahead lists the shingles."""
+    # The array of one binds the bytes once; a lambda's body is evaluated for each shingle.
+    plain = f"element_at(transform(array(encode({line}, 'UTF-16BE')), b -> transform(sequence(1, octet_length(b) - {2 * width - 1}, 2), i -> xxhash64(substring(b, i, {2 * width})))), 1)"
     short = f"transform(sequence(1, length({line}) - {width - 1}), i -> substring({line}, i, {width}))"
     # A search goes on by UTF-16 units, so places within a character are passed over.
     long = rf"regexp_extract_all({line}, '(?s)(?![\\x{{DC00}}-\\x{{DFFF}}])(?=(.{{{width}}}))', 1)"
-    return F.expr(f"transform(case when length({line}) <= {width} then array({line}) when length({line}) <= {SHORT} then {short} else {long} end, x -> xxhash64(x))")
+    wide = f"transform(case when length({line}) <= {width} then array({line}) when length({line}) <= {SHORT} then {short} else {long} end, x -> xxhash64(encode(x, 'UTF-16BE')))"
+    return F.expr(f"case when length({line}) > {width} and octet_length(encode({line}, 'UTF-16BE')) = 2 * length({line}) then {plain} else {wide} end")
 
 
 def _key(text: Column) -> Column:

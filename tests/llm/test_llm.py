@@ -795,3 +795,16 @@ def test_quality_gathers_features_in_four_bytes(spark):
     assert p.shape == (2000, 249) and u.shape == (6000, 249) and p.dtype == u.dtype == np.float32
     assert (np.diff(u[:, 0]) >= 0).all() and peak < 3 * 4 * 8000 * 249, peak
     assert [len(y) for y in quality._gathered(rows.limit(0))] == [0, 0]
+
+
+def test_line_sets_are_byte_ranges(spark):
+    """Shingles are hashed as ranges of two bytes a character, the same ones in lines of any script, with and without characters of two units."""
+    texts = ["ab", "abcdef", "abcdefg", "éa b c d " * 9, "plain words and no more " * 20, "\U0001f600 plain words and no more " * 3, "plain words and no more \U0001f600" * 20]
+    sets = [{t[i : i + 6] for i in range(max(1, len(t) - 5))} for t in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, line string").select("i", F.array_distinct(lines._set("line", 6)).alias("s"))
+    got = {r.i: set(r.s) for r in rows.collect()}
+    for a in range(len(texts)):
+        for b in range(len(texts)):
+            assert len(got[a] & got[b]) == len(sets[a] & sets[b]), (a, b)
+    hashed = {r.h for r in spark.createDataFrame([(x,) for x in sets[4]], "x string").select(F.xxhash64(F.encode("x", "UTF-16BE")).alias("h")).collect()}
+    assert got[4] == hashed
