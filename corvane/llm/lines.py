@@ -158,10 +158,10 @@ def _signed(pairs: DataFrame, node: DataFrame) -> DataFrame:
 
 
 def _others(member: DataFrame, node: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
-    """a, b: the near pairs of a bucket's nodes that are not of one component (``root`` of member) yet.
+    """ra, rb: the components (``root`` of member) that a near pair of a bucket's nodes joins, once a task and pair of components.
 
     Every two nodes of a bucket meet in one cell, that of their two blocks, so a large bucket is dealt over many tasks. Signatures,
-    then sketches, then the exact Jaccard index decide where two nodes meet: only near pairs leave.
+    then sketches, then the exact Jaccard index decide where two nodes meet: only what near pairs join leaves.
     """
     live = member.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("first"), F.max("root").alias("last")).where("first < last").select("key", "n")
     own = cut(member.select("key", "k1", "root").join(cut(live), "key"))
@@ -174,7 +174,7 @@ def _others(member: DataFrame, node: DataFrame, text_of: DataFrame, width: int,
     right = own.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), *named("b"))
     exact = F.col("asize") + F.col("bsize") >= (1 + threshold) * F.size(F.array_union(_set("aline", width), _set("bline", width)))
     met = left.join(right, ["key", "i", "j"]).where("(i < j or ak1 < bk1) and aroot <> broot").where(_alike("a", "b", threshold - 0.35) & _may_reach("a", "b", threshold) & exact)
-    return met.select(F.least("ak1", "bk1").alias("a"), F.greatest("ak1", "bk1").alias("b")).distinct()
+    return met.select(F.least("aroot", "broot").alias("ra"), F.greatest("aroot", "broot").alias("rb")).distinct()
 
 
 def _verified(pairs: DataFrame, text_of: DataFrame, width: int, threshold: float) -> DataFrame:
@@ -209,8 +209,6 @@ def gone(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     component = cut(components(_verified(pairs, text_of, width, threshold), "a", "b").select(F.col("node").alias("k1"), "root"))
     own = member.select("key", "k1").join(component, "k1", "left").withColumn("root", F.coalesce("root", "k1"))
     rest = cut(_others(own, node, text_of, width, threshold))
-    for side in "ab":
-        rest = rest.join(component.toDF(side, f"r{side}"), side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
     joined = cut(components(rest, "ra", "rb")).toDF("root", "least")
     grown = component.join(joined, "root", "left").select("k1", F.coalesce("least", "root").alias("root"))
     component = grown.unionByName(joined.toDF("k1", "root").join(component, "k1", "left_anti"))

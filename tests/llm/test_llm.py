@@ -808,3 +808,12 @@ def test_line_sets_are_byte_ranges(spark):
             assert len(got[a] & got[b]) == len(sets[a] & sets[b]), (a, b)
     hashed = {r.h for r in spark.createDataFrame([(x,) for x in sets[4]], "x string").select(F.xxhash64(F.encode("x", "UTF-16BE")).alias("h")).collect()}
     assert got[4] == hashed
+
+
+def test_line_dedup_lets_joined_components_leave_once(spark):
+    """A line near to all thirty of a component is one row, not thirty."""
+    texts = [("a line that many others come very near to, with a number at its end " * 4) + str(i) for i in range(31)]
+    all_ = spark.createDataFrame(list(enumerate(texts)), "k1 bigint, line string")
+    member = all_.select(F.lit(5).cast("bigint").alias("key"), "k1", F.when(F.col("k1") < 30, 0).otherwise(F.col("k1")).cast("bigint").alias("root"))
+    got = lines._others(member, lines.signatures(all_, 8), all_, 6, 0.8).collect()
+    assert [tuple(r) for r in got] == [(0, 30)]
