@@ -10,11 +10,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def strided_length(length: Column, kernel: int = 3, stride: int = 2, factor: int = 4) -> Column:
-    """Frames left after log2(factor) strided convolutions with half padding."""
+def strided_length(length: Column, kernel: int = 3, stride: int = 2, factor: int = 4, toward_zero: bool = False) -> Column:
+    """Frames left after log2(factor) strided convolutions with half padding, in whole numbers.
+
+    Lengths that padding does not fill (0 with a kernel of 3) divide down, or as SQL's whole division does ``toward_zero``.
+    """
     steps = factor.bit_length() - 1
+    length = length.cast("bigint")
     for _ in range(steps):
-        length = F.floor((length + 2 * (kernel // 2) - kernel) / stride) + 1
+        room = length + (2 * (kernel // 2) - kernel)
+        length = F.call_function("div", room if toward_zero else room - F.pmod(room, F.lit(stride)), F.lit(stride)) + 1
     return length.cast("bigint")
 
 

@@ -91,6 +91,19 @@ def test_signal(spark):
     assert tuple(got[0]) == (8000, 1, 0.5) and tuple(got[1]) == (None, None, None)
 
 
+def test_subsampled_lengths(spark, tmp_path):
+    """Lengths of nothing and lengths a double cannot hold, as the SQL divides them."""
+    import duckdb
+
+    from corvane.plans import catalog, more
+
+    rows = [(i, n) for i, n in enumerate([0, 1, 2, 3, 4, 5, 37, 2**53 + 1, 2**60 + 3, None])]
+    spark.createDataFrame(rows, "doc_id bigint, n_chars bigint").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    want = duckdb.sql(catalog.SQL["subsampled_lengths"].replace("documents", f"'{tmp_path}/documents.parquet/*.parquet'")).fetchall()
+    assert sorted(map(tuple, more.subsampled_lengths(spark, str(tmp_path)).collect())) == sorted(want) and dict(want)[0] == 1
+    assert values(column(spark, [0, 1, 2], "bigint"), signal.strided_length(F.col("x"))) == [0, 1, 1]
+
+
 def test_evaluate(spark):
     refs = spark.createDataFrame([("a", "en", "r1", "the cat sat"), ("b", "en", "r2", "hello"), ("c", "fr", "r3", "oui")], "id string, lang string, rec string, reference string")
     preds = spark.createDataFrame([("a", "the bat sat"), ("c", "oui"), ("x", "?")], "id string, hypothesis string")
