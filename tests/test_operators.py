@@ -88,6 +88,42 @@ def test_near_duplicates_query(spark, tmp_path):
     assert len(got) == len(want) > 30 and {(x.a, x.b): x.ratio for x in got} == want
 
 
+def test_near_duplicates_blocks(spark, monkeypatch):
+    """Small blocks and crowds of equal texts give brute force's pairs, both ways round; each text meets another once."""
+    import difflib
+
+    from corvane.functions import pairs
+
+    r = random.Random(5)
+    words = ["".join(r.choice("aeioumnrst") for _ in range(r.randrange(2, 6))) for _ in range(40)]
+    texts = [" ".join(r.choice(words) for _ in range(r.choice([20, 60, 400]))) for _ in range(20)]
+    texts += ["".join(c for c in t if r.random() > 0.03) for t in texts]
+    texts += [texts[i] for i in (0, 0, 1, 25, 25)] + [texts[2][: len(texts[2]) // 2] + texts[2][: len(texts[2]) // 2]]
+    r.shuffle(texts)
+    want = {}
+    for a, t in enumerate(texts):
+        for b, u in enumerate(texts[a + 1 :], a + 1):
+            if 2 * min(len(t), len(u)) >= 0.92 * (len(t) + len(u)) and (s := difflib.SequenceMatcher(None, t, u, autojunk=False).ratio()) >= 0.92:
+                want[a, b] = s
+            assert (a, b) not in want or pairs.common_reaches(pairs.Text(t), pairs.Text(u), 0.92)
+    monkeypatch.setattr(dedup, "BLOCK", (3, 10_000))
+    monkeypatch.setattr(dedup, "TASKS", 4)
+    d = spark.createDataFrame(list(enumerate(texts)), "id int, t string").withColumn("b", F.lit(None).cast("string"))
+    got = dedup.near_duplicates(d, "id", "t", ["b"]).collect()
+    assert len(got) == len(want) > 20 and {(x.a, x.b): x.ratio for x in got} == want
+
+
+def test_near_duplicates_prose(monkeypatch):
+    """Prose of one small language, whose grams are all alike, is refused before any ratio is computed."""
+    from corvane.functions import pairs
+
+    r = random.Random(6)
+    words = ["".join(r.choice(["th", "er", "on", "an", "re", "he", "in", "ed"]) for _ in range(r.randrange(1, 4))) for _ in range(300)]
+    texts = [pairs.Text(" ".join(r.choice(words) for _ in range(n)), n, 1, 1) for n in [300] * 12 + [1500] * 4]
+    monkeypatch.setattr(pairs, "_ratio_from", lambda *_: pytest.fail("a ratio was computed"))
+    assert not list(pairs.near(texts, None, 0.92)) and pairs.common_reaches(texts[0], texts[0], 0.92)
+
+
 def test_leakage(spark):
     a = spark.createDataFrame([(1, "p", "s1"), (2, "q", None), (3, "r", "s3")], "id int, path string, speaker string")
     b = spark.createDataFrame([(9, "q", "s1")], "id int, path string, speaker string")
