@@ -27,26 +27,43 @@ def _hits(text: Column, words: Column, marker: str, inside_words: bool) -> Colum
 
 def scores(text: Column, lexicon: Lexicon, inside_words: bool = False) -> Column:
     """array of struct(label, score, found): a marker's hits weigh 1 and a quarter more for each character over two."""
-    low = F.lower(text)
-    words = t.words(low) if inside_words else F.transform(F.regexp_extract_all(low, F.lit(r"([\p{L}']+)"), F.lit(1)), lambda w: F.trim(w, F.lit("'")))
-    out = []
-    for label, markers in lexicon.items():
-        n = {m: _hits(low, words, m, inside_words) for m in markers}
-        score = reduce(lambda a, b: a + b, (n[m] * (1 + 0.25 * (len(m.removesuffix("*")) - 2)) for m in markers))
-        found = F.array_compact(F.array(*(F.when(n[m] > 0, F.lit(m.removesuffix("*"))) for m in markers)))
-        out.append(F.struct(F.lit(label).alias("label"), score.alias("score"), found.alias("found")))
-    return F.array(*out)
+    flat = [m for markers in lexicon.values() for m in markers]
+
+    def hits(low: Column) -> Column:
+        words = t.words(low) if inside_words else F.transform(F.regexp_extract_all(low, F.lit(r"([\p{L}']+)"), F.lit(1)), lambda w: F.trim(w, F.lit("'")))
+        return t.bound(words, lambda own: F.array(*(_hits(low, own, m, inside_words) for m in flat)))
+
+    def weigh(n: Column) -> Column:
+        out, at = [], 0
+        for label, markers in lexicon.items():
+            own = {m: n[at + i] for i, m in enumerate(markers)}
+            at += len(markers)
+            score = reduce(lambda a, b: a + b, (own[m] * (1 + 0.25 * (len(m.removesuffix("*")) - 2)) for m in markers))
+            found = F.array_compact(F.array(*(F.when(own[m] > 0, F.lit(m.removesuffix("*"))) for m in markers)))
+            out.append(F.struct(F.lit(label).alias("label"), score.alias("score"), found.alias("found")))
+        return F.array(*out)
+
+    return t.bound(t.bound(F.lower(text), hits), weigh)
 
 
 def detect(text: Column, lexicon: Lexicon, least: float = 1.5, margin: float = 0.75, inside_words: bool = False) -> Column:
     """struct(label, confidence, evidence): the best label if it scores enough and leads the next by the margin, else ``unknown``."""
-    ranked = F.array_sort(scores(text, lexicon, inside_words), lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1).otherwise(0))
-    first = F.get(ranked, F.lit(0))
-    second = F.coalesce(F.get(ranked, F.lit(1))["score"], F.lit(0.0))
-    sure = (first["score"] >= least) & (first["score"] - second >= margin)
-    confidence = F.least(F.lit(0.95), 0.35 + 0.12 * first["score"] + 0.05 * F.size(first["found"]))
-    none = F.when(first["score"] > 0, 0.2).otherwise(0.0)
-    return F.struct(F.when(sure, first["label"]).otherwise("unknown").alias("label"), F.when(sure, confidence).otherwise(none).alias("confidence"), F.when(sure, first["found"]).otherwise(F.array().cast("array<string>")).alias("evidence"))
+    return decide(scores(text, lexicon, inside_words), least, margin)
+
+
+def decide(scored: Column, least: float = 1.5, margin: float = 0.75) -> Column:
+    """detect from the scores of a text."""
+    ranked = F.array_sort(scored, lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1).otherwise(0))
+
+    def pick(ranked: Column) -> Column:
+        first = F.get(ranked, F.lit(0))
+        second = F.coalesce(F.get(ranked, F.lit(1))["score"], F.lit(0.0))
+        sure = (first["score"] >= least) & (first["score"] - second >= margin)
+        confidence = F.least(F.lit(0.95), 0.35 + 0.12 * first["score"] + 0.05 * F.size(first["found"]))
+        none = F.when(first["score"] > 0, 0.2).otherwise(0.0)
+        return F.struct(F.when(sure, first["label"]).otherwise("unknown").alias("label"), F.when(sure, confidence).otherwise(none).alias("confidence"), F.when(sure, first["found"]).otherwise(F.array().cast("array<string>")).alias("evidence"))
+
+    return t.bound(ranked, pick)
 
 
 def reconcile(detected: Column, claimed: Column, claim_confidence: Column, valid: list[str]) -> Column:
