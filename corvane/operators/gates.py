@@ -13,7 +13,7 @@ from corvane.functions import text as t
 NOISE = r"\[[^\]\n]{1,40}\]"
 URL = r"(?iuU)(?:https?://|www\.)\S+"
 SPEAKER = r"(?iuU)(?:^|\s)(?:SPEAKER|SPK|MALE|FEMALE|M|F)\s*[:#]?\s*\d*\s*[:|]"
-TIMESTAMP = r"(?U)\b\d{1,2}:\d{2}:\d{2}\b"
+TIMESTAMP = r"(?U)(?=\d)\b\d{1,2}:\d{2}:\d{2}\b"
 RATES = {"ar": (0.4, 7.0), "en": (0.4, 7.0), "hi": (0.4, 7.0), "ml": (0.4, 7.0), "zh": (0.8, 12.0)}
 
 
@@ -33,6 +33,20 @@ class GateConfig:
     min_richness: float = 0.0
 
 
+def contamination(text: Column) -> Column:
+    """Why a text cannot be saved; the marks a pattern needs are looked for first."""
+    marked = F.contains(text, F.lit(":")) | F.contains(text, F.lit("|"))
+    return F.array_compact(
+        F.array(
+            F.when(F.contains(text, F.lit("�")), "replacement_char"),
+            F.when(F.regexp_like(text, F.lit(NOISE)), "noise_marker"),
+            F.when(F.regexp_like(text, F.lit(URL)), "url"),
+            F.when(marked & (F.regexp_like(text, F.lit(SPEAKER)) | F.regexp_like(text, F.lit(TIMESTAMP))), "speaker_label_or_timestamp"),
+            F.when(~F.regexp_like(text, F.lit(r"\p{L}")), "no_letters"),
+        )
+    )
+
+
 def measures(text: Column, lang: Column) -> Column:
     """What the gate's thresholds are held against."""
     top = F.when(lang == "zh", F.lit(None).cast("double")).otherwise(t.top_word_share(text))
@@ -61,15 +75,6 @@ def gate(text: Column, lang: Column, duration: Column | None = None, config: Gat
         early = F.coalesce(early, F.when(known & ~d.between(config.min_duration, config.max_duration), "duration_out_of_band"))
     blank = text.isNull() | ~F.regexp_like(text, F.lit(r"(?U)\S"))
     early = F.coalesce(early, F.when(blank, "empty_text"))
-    dirty = F.array_compact(
-        F.array(
-            F.when(F.contains(text, F.lit("�")), "replacement_char"),
-            F.when(F.regexp_like(text, F.lit(NOISE)), "noise_marker"),
-            F.when(F.regexp_like(text, F.lit(URL)), "url"),
-            F.when(F.regexp_like(text, F.lit(SPEAKER)) | F.regexp_like(text, F.lit(TIMESTAMP)), "speaker_label_or_timestamp"),
-            F.when(~F.regexp_like(text, F.lit(r"\p{L}")), "no_letters"),
-        )
-    )
     m = measures(text, lang) if m is None else m
     chars, ratio, run, units, top, marks, rich = (m[c] for c in ("chars", "ratio", "run", "units", "top", "marks", "rich"))
     rate = F.when(known, units / d)
@@ -85,11 +90,16 @@ def gate(text: Column, lang: Column, duration: Column | None = None, config: Gat
     ]
     if config.gate_duration:
         late += [F.when(rate < low, "speech_rate_low"), F.when(rate > high, "speech_rate_high")]
-    reasons = F.when(early.isNotNull(), F.array(early)).when(F.size(dirty) > 0, dirty).otherwise(F.array_compact(F.array(*late)))
-    passed = F.size(reasons) == 0
+    reasons = t.bound(contamination(text), lambda dirty: F.when(early.isNotNull(), F.array(early)).when(F.size(dirty) > 0, dirty).otherwise(F.array_compact(F.array(*late))))
     pace = F.when(rate.isNull() | low.isNull(), 1.0).otherwise(F.greatest(F.lit(0.0), 1 - F.abs(rate - (low + high) / 2) / ((high - low) / 2)))
-    quality = F.when(passed, F.round(F.least(ratio, F.lit(1.0)) * pace * F.when(chars < 20, 0.85).otherwise(1.0), 4)).otherwise(0.0)
-    return F.struct(passed.alias("passed"), reasons.alias("reasons"), chars.alias("chars"), ratio.alias("script_ratio"), run.alias("char_run"), units.alias("units"), top.alias("top_word"), rich.alias("richness"), quality.alias("quality"), F.round(quality * rich, 4).alias("composite"))
+    clean = F.round(F.least(ratio, F.lit(1.0)) * pace * F.when(chars < 20, 0.85).otherwise(1.0), 4)
+
+    def verdict(reasons: Column) -> Column:
+        passed = F.size(reasons) == 0
+        quality = F.when(passed, clean).otherwise(0.0)
+        return F.struct(passed.alias("passed"), reasons.alias("reasons"), chars.alias("chars"), ratio.alias("script_ratio"), run.alias("char_run"), units.alias("units"), top.alias("top_word"), rich.alias("richness"), quality.alias("quality"), F.round(quality * rich, 4).alias("composite"))
+
+    return t.bound(reasons, verdict)
 
 
 def hard_checks(text: Column, original: Column, lang: str) -> Column:
