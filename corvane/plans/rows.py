@@ -57,10 +57,11 @@ def gate_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
       CASE WHEN NOT regexp_matches(text, '\p{{L}}') THEN 'no_letters' ELSE '' END]), lambda x: x <> ''), ',') AS reasons FROM {TAILED}
 """)
 def gate_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reasons of contamination as the whole gate gives them."""
+    """The reasons of contamination as the whole gate gives them; a blank text, which it calls empty, has no letters."""
     wanted = ["no_letters", "noise_marker", "replacement_char", "speaker_label_or_timestamp", "url"]
     d = gates.gated(table(spark, sf_dir, "documents").select("doc_id", "lang", _tailed().alias("text")), "text", "lang")
-    return d.select("doc_id", F.array_join(F.array_intersect(F.array(*map(F.lit, wanted)), "gate.reasons"), ",").alias("reasons"))
+    reasons = F.transform("gate.reasons", lambda r: F.when((r == "empty_text") & F.col("text").isNotNull(), "no_letters").otherwise(r))
+    return d.select("doc_id", F.array_join(F.array_intersect(F.array(*map(F.lit, wanted)), reasons), ",").alias("reasons"))
 
 
 @query(r"""
