@@ -47,6 +47,11 @@ def count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("bigint")
 
 
+def chars(text: Column, inside: str, letter: bool = False) -> Column:
+    """Characters of a class (letters among them): the length of what is left without the runs of others, which takes no array of matches."""
+    return F.length(drop(text, rf"[[^{inside}]\P{{L}}]+" if letter else f"[^{inside}]+")).cast("bigint")
+
+
 def ratio(part: Column, whole: Column, empty: float | None = 0.0) -> Column:
     """part / whole; ``empty`` where whole is zero."""
     return F.when(whole == 0, F.lit(empty)).otherwise(part / whole)
@@ -57,7 +62,7 @@ def drop(text: Column, pattern: str, by: str = "") -> Column:
 
 
 def letters(text: Column) -> Column:
-    return count(text, r"\p{L}")
+    return chars(text, r"\p{L}")
 
 
 # --- cleaning ---------------------------------------------------------------
@@ -157,7 +162,7 @@ def script_ratio(text: Column, lang: Column) -> Column:
     """Share of letters in the language's script or Latin; 1 for languages without a rule, 0 without letters."""
     n, hits = letters(text), F.lit(None).cast("bigint")
     for code, own in SCRIPTS.items():
-        hits = F.when(lang == code, count(text, f"(?=\\p{{L}})[{own}{LATIN}]")).otherwise(hits)
+        hits = F.when(lang == code, chars(text, own + LATIN, letter=True)).otherwise(hits)
     return F.when(~lang.isin(*SCRIPTS) | lang.isNull(), F.lit(1.0)).otherwise(ratio(hits, n))
 
 
@@ -168,15 +173,15 @@ def has_script(text: Column, lang: str) -> Column:
 
 def arabic_ratio(text: Column) -> Column:
     """Arabic letters over letters."""
-    return ratio(count(text, f"(?=\\p{{L}})[{ARABIC_WIDE}]"), letters(text))
+    return ratio(chars(text, ARABIC_WIDE, letter=True), letters(text))
 
 
 def mark_count(text: Column) -> Column:
-    return count(text, f"[{ALL_MARKS}]")
+    return chars(text, ALL_MARKS)
 
 
 def critical_mark_count(text: Column) -> Column:
-    return count(text, f"[{CRITICAL_MARKS}]")
+    return chars(text, CRITICAL_MARKS)
 
 
 def has_marks(text: Column) -> Column:
@@ -189,17 +194,17 @@ def strip_marks(text: Column) -> Column:
 
 def mark_density(text: Column) -> Column:
     """Marks per Arabic letter."""
-    return ratio(mark_count(text), count(text, f"[{ARABIC_WIDE}]"))
+    return ratio(mark_count(text), chars(text, ARABIC_WIDE))
 
 
 def vocalisation(text: Column) -> Column:
     """Marks and tatweel per Arabic letter; null without Arabic letters."""
-    return ratio(count(text, f"[{CRITICAL_MARKS}{OTHER_MARKS}{TATWEEL}]"), count(text, f"[{ARABIC}]"), None)
+    return ratio(chars(text, CRITICAL_MARKS + OTHER_MARKS + TATWEEL), chars(text, ARABIC), None)
 
 
 def mark_ratio(text: Column) -> Column:
     """Combining marks over letters and marks."""
-    return ratio(count(text, r"\p{M}"), count(text, r"[\p{L}\p{M}]"))
+    return ratio(chars(text, r"\p{M}"), chars(text, r"\p{L}\p{M}"))
 
 
 def bound(value: Column, body) -> Column:
@@ -224,14 +229,14 @@ SPACED = ("ar", "en", "hi", "ml")
 
 def unit_count(text: Column, lang: Column) -> Column:
     """Words in languages that space them; in others Han characters, or all characters if there are none."""
-    han = count(text, f"[{HAN}]")
+    han = chars(text, HAN)
     spaced = F.coalesce(lang.isin(*SPACED), F.lit(False))
     return F.when(spaced, F.size(words(text))).otherwise(F.when(han > 0, han).otherwise(F.length(text))).cast("bigint")
 
 
 def folded(text: Column) -> Column:
     """Case folded: lower case of the upper case, final sigma as sigma."""
-    return F.translate(F.lower(F.upper(text)), "\u03c2", "\u03c3")
+    return F.replace(F.lower(F.upper(text)), F.lit("\u03c2"), F.lit("\u03c3"))
 
 
 def content_units(text: Column, lang: Column) -> Column:
@@ -244,47 +249,57 @@ def content_units(text: Column, lang: Column) -> Column:
 
 def richness(text: Column, lang: Column, full_units: int = 24, full_chars: int = 24) -> Column:
     """0.4 distinct share of units + 0.4 distinct units toward full + 0.2 characters toward full."""
-    def score(units: Column) -> Column:
-        n, distinct = F.size(units), F.size(F.array_distinct(units))
+    def score(size: Column) -> Column:
+        n, distinct = size["n"], size["distinct"]
         variety = F.when(distinct >= 2, distinct / n).otherwise(0.0)
         volume = F.least(distinct / F.lit(full_units), F.lit(1.0))
         band = F.least(F.length(drop(text, r"(?U)^\s+|\s+$")) / F.lit(full_chars), F.lit(1.0))
         return F.when(n == 0, 0.0).otherwise(F.round(0.4 * variety + 0.4 * volume + 0.2 * band, 4))
 
-    return bound(content_units(text, lang), score)
+    sizes = bound(content_units(text, lang), lambda units: F.struct(F.size(units).alias("n"), F.size(F.array_distinct(units)).alias("distinct")))
+    return bound(sizes, score)
 
 
 def top_word_share(text: Column) -> Column:
     """Share of the most frequent word, case aside."""
-    # Sorted words stand in runs; a run is found by a back-reference and has as many words as spaces.
+    # Sorted words stand in runs; a fold keeps the word, the length of its run and the longest run.
     def share(own: Column) -> Column:
-        line = F.concat(F.lit(" "), F.array_join(own, " "))
-        runs = F.regexp_extract_all(line, F.lit(r"(( \S+)(?:\2(?= |$))*)"), F.lit(1))
-        top = F.array_max(F.transform(runs, lambda r: F.length(r) - F.length(F.replace(r, F.lit(" "), F.lit("")))))
-        return F.when(F.size(own) == 0, 0.0).otherwise(top / F.size(own))
+        start = F.struct(F.lit("").alias("word"), F.lit(0).alias("run"), F.lit(0).alias("top"))
+
+        def step(held: Column, word: Column) -> Column:
+            run = F.when(held["word"] == word, held["run"] + 1).otherwise(1)
+            return bound(run, lambda r: F.struct(word.alias("word"), r.alias("run"), F.greatest(held["top"], r).alias("top")))
+
+        return F.when(F.size(own) == 0, 0.0).otherwise(F.aggregate(own, start, step)["top"] / F.size(own))
 
-    return bound(F.array_sort(words(F.lower(text))), share)
+    return bound(F.sort_array(words(F.lower(text))), share)
 
 
 def code_switch_ratio(text: Column, lang: Column) -> Column:
     """Share of letters outside the language's own script."""
     own = F.lit(None).cast("bigint")
-    for code, chars in SCRIPTS.items():
-        own = F.when(lang == code, count(text, f"(?=\\p{{L}})[{chars}]")).otherwise(own)
+    for code, script in SCRIPTS.items():
+        own = F.when(lang == code, chars(text, script, letter=True)).otherwise(own)
     return F.when(own.isNull(), 0.0).otherwise(F.when(letters(text) == 0, 0.0).otherwise(1 - own / letters(text)))
 
 
 def script_counts(text: Column) -> Column:
-    """Characters of each script."""
-    return F.struct(*(count(text, f"[{own}]").alias(code) for code, own in (("latin", LATIN), ("arabic", ARABIC_WIDE), ("han", HAN), ("devanagari", DEVANAGARI), ("malayalam", MALAYALAM))))
+    """Characters of each script, and letters; all scripts but Latin lie from U+0600 on, so they are counted in what is left from there."""
+    def beyond(rest: Column) -> Column:
+        others = (("arabic", ARABIC_WIDE), ("han", HAN), ("devanagari", DEVANAGARI), ("malayalam", MALAYALAM))
+        return F.struct(chars(text, LATIN).alias("latin"), *(chars(rest, own).alias(code) for code, own in others), letters(text).alias("letters"))
+
+    return bound(drop(text, r"[\x00-\u05ff]+"), beyond)
 
 
 def script_language(text: Column, least: int = 3, share: float = 0.35) -> Column:
     """The language the scripts vote for: at least so many characters and such a share of letters; first of equals."""
-    c, n = script_counts(text), letters(text)
-    best = F.greatest(*(c[k] for k in ("arabic", "han", "devanagari", "malayalam", "latin")))
-    pick = F.coalesce(*(F.when(c[k] == best, F.lit(code)) for k, code in (("arabic", "ar"), ("han", "zh"), ("devanagari", "hi"), ("malayalam", "ml"), ("latin", "en"))))
-    return F.when((best >= least) & (best >= share * n), pick)
+    def vote(c: Column) -> Column:
+        best = F.greatest(*(c[k] for k in ("arabic", "han", "devanagari", "malayalam", "latin")))
+        pick = F.coalesce(*(F.when(c[k] == best, F.lit(code)) for k, code in (("arabic", "ar"), ("han", "zh"), ("devanagari", "hi"), ("malayalam", "ml"), ("latin", "en"))))
+        return F.when((best >= least) & (best >= share * c["letters"]), pick)
+
+    return bound(script_counts(text), vote)
 
 
 def dialect(text: Column) -> Column:
@@ -409,7 +424,10 @@ def sentence_case(text: Column) -> Column:
 
 def dominant_script(text: Column, least: int = 5) -> Column:
     """The script with most letters, first of equals; null under ``least`` letters."""
-    c = script_counts(text)
     names = ("latin", "arabic", "han", "devanagari", "malayalam")
-    best = F.greatest(*(c[n] for n in names))
-    return F.when((letters(text) >= least) & (best > 0), F.coalesce(*(F.when(c[n] == best, F.lit(n)) for n in names)))
+
+    def most(c: Column) -> Column:
+        best = F.greatest(*(c[n] for n in names))
+        return F.when((c["letters"] >= least) & (best > 0), F.coalesce(*(F.when(c[n] == best, F.lit(n)) for n in names)))
+
+    return bound(script_counts(text), most)

@@ -104,6 +104,56 @@ def test_subsampled_lengths(spark, tmp_path):
     assert values(column(spark, [0, 1, 2], "bigint"), signal.strided_length(F.col("x"))) == [0, 1, 1]
 
 
+def _mentions(df, piece):
+    return df._jdf.queryExecution().optimizedPlan().toString().count(piece)
+
+
+def _few_documents(spark, path):
+    rows = [(6, ""), (13, "  "), (20, None), (1, "the which from and"), (2, "شلون وين الحين abc"), (3, "語語語 a"), (4, "see www.x.org 1:02:03")]
+    spark.createDataFrame([(i, t, "fr" if i < 4 else "en") for i, t in rows], "doc_id bigint, text string, lang string").coalesce(1).write.parquet(f"{path}/documents.parquet")
+
+
+def _as_sql(spark, path, name, query):
+    import duckdb
+
+    from corvane.plans import catalog
+
+    want = duckdb.sql(catalog.SQL[name].replace("FROM documents", f"FROM '{path}/documents.parquet/*.parquet'")).fetchall()
+    assert sorted(map(tuple, query(spark, str(path)).collect()), key=str) == sorted(want, key=str)
+
+
+def test_votes_are_counted_once(spark, tmp_path):
+    from corvane.plans import documents
+
+    _few_documents(spark, tmp_path)
+    assert _mentions(documents.language_vote_contradiction(spark, str(tmp_path)), "regexp_replace") <= 7
+    rows = documents.language_vote_contradiction(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.guess) for r in rows) == [(1, "en"), (2, "ar"), (3, "zh")]
+
+
+def test_lexicon_words_are_taken_once(spark, tmp_path):
+    from corvane.plans import more
+
+    _few_documents(spark, tmp_path)
+    assert _mentions(more.lexicon_labels(spark, str(tmp_path)), "regexp_extract_all") == 1
+    spark.createDataFrame([(1, "which from within and the inner 'that'"), (2, "")], "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/b/documents.parquet")
+    _as_sql(spark, tmp_path / "b", "lexicon_labels", more.lexicon_labels)
+
+
+def test_gate_patterns_are_sought_once(spark, tmp_path):
+    from corvane.plans import documents
+
+    _few_documents(spark, tmp_path)
+    assert _mentions(documents.quality_gate(spark, str(tmp_path)), "SPEAKER|SPK") == 1
+
+
+def test_gate_contamination_of_blank_texts(spark, tmp_path):
+    from corvane.plans import rows
+
+    _few_documents(spark, tmp_path)
+    _as_sql(spark, tmp_path, "gate_contamination", rows.gate_contamination)
+
+
 def test_evaluate(spark):
     refs = spark.createDataFrame([("a", "en", "r1", "the cat sat"), ("b", "en", "r2", "hello"), ("c", "fr", "r3", "oui")], "id string, lang string, rec string, reference string")
     preds = spark.createDataFrame([("a", "the bat sat"), ("c", "oui"), ("x", "?")], "id string, hypothesis string")
